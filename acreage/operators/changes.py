@@ -13,10 +13,27 @@ from acreage.functions.columns import all_present, named, row_hash
 NULL_KEY_SPREAD = 4096
 
 
+def zero(keys: Sequence[str]) -> Column:
+    """0 for every row, which the optimizer does not know: a literal would be taken out of the
+    join keys."""
+    return F.pmod(F.hash(*[named(k) for k in keys]), F.lit(1))
+
+
 def spread_null_keys(df: DataFrame, keys: Sequence[str], name: str = "_spread") -> DataFrame:
     """Add a join key that is 0 for whole keys and scatters the rows whose key has a NULL."""
-    scattered = F.pmod(row_hash(df.columns), F.lit(NULL_KEY_SPREAD))
-    return df.withColumn(name, F.when(all_present(keys), F.lit(0)).otherwise(scattered).cast("int"))
+    scattered = F.pmod(row_hash(df.columns), F.lit(NULL_KEY_SPREAD)).cast("int")
+    return df.withColumn(name, F.when(all_present(keys), zero(keys)).otherwise(scattered))
+
+
+def lookup_join(df: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join to a side that holds each whole key at most once.
+
+    The extra key is computed after ``right`` has been reduced, so ``right`` is shuffled for the
+    join itself. Adaptive execution splits a key that fills much of ``df`` only if both sides
+    come straight from a shuffle; moving the reduced side once more is the price of that.
+    """
+    right = right.where(all_present(keys)).withColumn("_spread", zero(keys))
+    return spread_null_keys(df, keys).join(right, [*keys, "_spread"], how).drop("_spread")
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str, by: Sequence[str] | None = None) -> DataFrame:
@@ -53,8 +70,8 @@ def insert_new(
     if dedupe_batch:
         batch = one_per_key(batch, keys)
     # Distinct keys first: a key the target holds a million times is sent once per task.
-    seen = target.where(all_present(keys)).select(*keys).distinct().withColumn("_spread", F.lit(0))
-    return spread_null_keys(batch, keys).join(seen, [*keys, "_spread"], "left_anti").select(*batch.columns)
+    seen = target.select(*keys).distinct()
+    return lookup_join(batch, seen, keys, "left_anti").select(*batch.columns)
 
 
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,10 +134,8 @@ def upsert(
     keys, columns = list(keys), target.columns
     update = list(update) if update is not None else [c for c in columns if c not in keys]
     source = require_unique(source, keys, "source")
-    fresh = source.select(
-        *keys, F.lit(0).alias("_spread"), F.struct(*update).alias("_fresh")
-    ).where(all_present(keys))
-    joined = spread_null_keys(target, keys).join(fresh, [*keys, "_spread"], "left")
+    fresh = source.select(*keys, F.struct(*update).alias("_fresh"))
+    joined = lookup_join(target, fresh, keys, "left")
     kept = joined.select(
         *[
             F.when(F.col("_fresh").isNotNull(), F.col(f"_fresh.{c}")).otherwise(F.col(c)).alias(c)

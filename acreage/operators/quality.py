@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreage.functions.columns import all_present, any_of, named, row_as_text
+from acreage.operators.changes import lookup_join
 from acreage.operators.keys import dense_surrogate_key
 
 MODES = ("filter", "stat", "filter_and_stat")
@@ -71,7 +72,7 @@ def duplicated_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     whole = df.where(all_present(columns))
     repeated = whole.groupBy(*columns).count().where(F.col("count") > 1).select(*columns)
-    return whole.join(repeated, list(columns), "left_semi").select(*df.columns)
+    return lookup_join(whole, repeated, list(columns), "left_semi").select(*df.columns)
 
 
 def _unique_failures(df: DataFrame, rule: Mapping, pk: str) -> DataFrame:
@@ -106,9 +107,7 @@ def find_failures(df: DataFrame, rules: Sequence[Mapping], pk: str) -> DataFrame
 
 def passing_rows(df: DataFrame, failures: DataFrame, pk: str) -> DataFrame:
     """Rows whose key has no failure."""
-    return df.join(failures.select(pk).where(F.col(pk).isNotNull()).distinct(), pk, "left_anti").select(
-        *df.columns
-    )
+    return lookup_join(df, failures.select(pk).distinct(), [pk], "left_anti").select(*df.columns)
 
 
 def quarantine(failures: DataFrame, table: str, as_of: date, base: int, pk: str) -> DataFrame:

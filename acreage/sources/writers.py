@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acreage.functions.columns import named
+from acreage.session import fresh_path
 
 
 def append_batch(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The frame's rows from a table in the shared folder: what follows reads that table, and a
+    lost executor costs only tasks, not everything the frame was made from."""
+    path = fresh_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_if_any(df: DataFrame, path: str) -> bool:
     """Append unless there is nothing to append; tells whether it did."""
     if df.isEmpty():

@@ -1,0 +1,15 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
+
+from acreage.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = local_session(4, "tests", partitions=4)
+    yield session
+    session.stop()

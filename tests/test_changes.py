@@ -1,0 +1,132 @@
+import pytest
+from hypothesis import HealthCheck, given, settings as rules
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from util import plan, ran, rows, settings
+
+from acreage.operators.changes import (
+    arrivals,
+    change_feed,
+    deleted_for_good,
+    insert_new,
+    require_unique,
+    upsert,
+)
+
+LIGHT = rules(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+KV = "k int, v string"
+STATES = st.dictionaries(st.integers(0, 8), st.sampled_from(["a", "b", None]))
+
+# Joins of these tests shuffle, and a partition counts as skewed from a few kilobytes on.
+SKEWED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+    "spark.sql.shuffle.partitions": "8",
+}
+
+
+def test_insert_new_keeps_unseen_and_keyless_rows(spark):
+    # D22
+    batch = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y"), (None, "z"), (3, None)], KV)
+    target = spark.createDataFrame([(1, "x"), (None, "z"), (3, None)], KV)
+    assert rows(insert_new(batch, target, ["k", "v"])) == {(2, "y"): 2, (None, "z"): 1, (3, None): 1}
+    once = insert_new(batch, target, ["k", "v"], dedupe_batch=True)
+    assert rows(once) == {(2, "y"): 1, (None, "z"): 1, (3, None): 1}
+
+
+def test_keyless_rows_do_not_share_one_partition(spark):
+    keyless = F.when(F.col("id") > 4999, F.col("id")).cast("int")
+    batch = spark.range(5001).select(keyless.alias("k"), F.col("id").cast("string").alias("v"))
+    target = spark.createDataFrame([(1, "x")], KV)
+    with settings(spark, SKEWED | {"spark.sql.adaptive.enabled": "false"}):
+        out = insert_new(batch, target, ["k"])
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 5001 and len(sizes) == 8 and max(sizes) < 1000
+
+
+def hot(spark):
+    """Rows of which most share one key, as a table in several files."""
+    return spark.range(20000).repartition(16).select(
+        F.when(F.col("id") % 10 < 8, 1).otherwise(F.col("id")).cast("int").alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+
+
+def test_a_hot_batch_key_is_split(spark):
+    target = spark.range(3, 300).select(F.col("id").cast("int").alias("k"))
+    with settings(spark, SKEWED):
+        assert "skew=true" in ran(insert_new(hot(spark), target, ["k"]))
+
+
+def test_a_hot_target_key_is_split(spark):
+    source = spark.range(1, 300).select(F.col("id").cast("int").alias("k"), F.lit("new").alias("v"))
+    with settings(spark, SKEWED):
+        assert "skew=true" in ran(upsert(hot(spark), source, ["k"]))
+
+
+def test_repeated_key_fails(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], KV)
+    with pytest.raises(Exception, match="repeated key"):
+        require_unique(df, ["k"], "table").collect()
+    assert require_unique(df.where("k is null"), ["k"], "table").count() == 2
+
+
+def test_change_feed_by_hand(spark):
+    old = spark.createDataFrame([(1, "a"), (2, None), (3, "c"), (4, "d")], KV)
+    new = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (5, "e")], KV)
+    feed = change_feed(old, new, ["k"])
+    assert rows(feed) == {
+        (2, None, "update_preimage"): 1, (2, "b", "update_postimage"): 1,
+        (3, "c", "update_preimage"): 1, (3, None, "update_postimage"): 1,
+        (4, "d", "delete"): 1, (5, "e", "insert"): 1,
+    }
+    # D23: only new content is handed on.
+    assert rows(arrivals(feed), "k") == {(2,): 1, (3,): 1, (5,): 1}
+    assert rows(deleted_for_good(feed)) == {(4, "d"): 1}
+
+
+def test_change_feed_refuses_repeated_keys(spark):
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], KV)
+    with pytest.raises(Exception, match="repeated key"):
+        change_feed(twice, twice.limit(1), ["k"]).collect()
+
+
+def test_change_feed_shuffles_each_state_once(spark):
+    df = spark.createDataFrame([(1, "a")], KV)
+    assert plan(change_feed(df, df, ["k"])).count("Exchange") == 2
+
+
+@LIGHT
+@given(STATES, STATES)
+def test_applying_a_feed_gives_the_new_state(spark, before, after):
+    old, new = (spark.createDataFrame(list(s.items()), KV) for s in (before, after))
+    state = dict(before)
+    changes = change_feed(old, new, ["k"]).collect()
+    for row in changes:
+        if row["_change_type"] in ("delete", "update_preimage"):
+            assert state.pop(row["k"]) == row["v"]
+    for row in changes:
+        if row["_change_type"] in ("insert", "update_postimage"):
+            state[row["k"]] = row["v"]
+    assert state == after
+
+
+def test_upsert_updates_inserts_and_keeps(spark):
+    target = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 3), (None, "n", 4)], "k int, v string, w int")
+    source = spark.createDataFrame([(1, None, 10), (3, "z", 30), (None, "m", 40)], target.schema)
+    out = upsert(target, source, ["k"], ["v"])
+    assert rows(out) == {
+        (1, None, 1): 1, (1, None, 2): 1, (2, "c", 3): 1, (None, "n", 4): 1, (3, "z", 30): 1, (None, "m", 40): 1,
+    }
+    with pytest.raises(Exception, match="repeated key"):
+        upsert(target, source.union(source), ["k"]).collect()
+
+
+@LIGHT
+@given(STATES, STATES)
+def test_upsert_equals_a_dictionary_update(spark, before, after):
+    old, new = (spark.createDataFrame(list(s.items()), KV) for s in (before, after))
+    assert rows(upsert(old, new, ["k"])) == {kv: 1 for kv in (before | after).items()}
