@@ -1,0 +1,171 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+from util import rows
+
+from acreage.operators.nested import parse_nested
+from acreage.operators.synth import synth_parcels, synth_sales
+from acreage.schemas import SALES_FEED, TABLES, XML_INVESTORS, XML_RETURNS
+from acreage.session import fresh_path, shared_dir
+from acreage.sources.readers import read_csv_inferred, read_event_json, read_sales_csv, read_xml
+from acreage.sources.writers import (
+    Lake,
+    append_evolving,
+    append_if_any,
+    create_tables,
+    overwrite_snapshot,
+    read_evolving,
+    snapshots,
+    write_partitioned,
+)
+from acreage.streaming.ingest import BATCH, incremental_ingest, insert_new_into
+
+
+def test_sales_csv_keeps_rows_with_bad_cells(spark, tmp_path):
+    header = ",".join(SALES_FEED.names)
+    line = "Inv,1 A St,C,S,00001,N,apn,Yes,m,m,TX,1,Residential,Townhouse,{beds},2.5,900,1980,1,{day},5.5,7,1.5,1,8.0"
+    (tmp_path / "one.csv").write_text(f"{header}\n{line.format(beds=3, day='2001-01-31')}\n")
+    (tmp_path / "two.csv").write_text(f"{header}\n{line.format(beds='many', day='then')}\n")
+    feed = read_sales_csv(spark, str(tmp_path))
+    assert feed.schema.names == SALES_FEED.names
+    assert rows(feed, "Bedrooms", "Bathrooms", F.col("Last Sale Date").cast("string")) == {
+        (3, 2.5, "2001-01-31"): 1, (None, 2.5, None): 1,
+    }
+
+
+def test_inferred_csv(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a|b\n1|x\n2|y\n")
+    df = read_csv_inferred(spark, str(tmp_path), delimiter="|")
+    assert df.dtypes == [("a", "int"), ("b", "string")]
+    assert read_csv_inferred(spark, str(tmp_path), infer_schema=False, delimiter="|").dtypes[0][1] == "string"
+    assert read_csv_inferred(spark, str(tmp_path), header=False, delimiter="|").count() == 3
+
+
+def test_xml_inferred_and_declared(spark, tmp_path):
+    (tmp_path / "x.xml").write_text(
+        """<Investments><Investment><Id>1</Id><Investors>
+        <Investor><InvestorID>7</InvestorID><Name>A</Name><OwnershipPercentage>60</OwnershipPercentage><Type>P</Type></Investor>
+        <Investor><InvestorID>8</InvestorID><Name>B</Name><OwnershipPercentage>40</OwnershipPercentage><Type>F</Type></Investor>
+        </Investors><Returns><Amount>5</Amount><ROI>1.5</ROI><Year>2001</Year></Returns>
+        <Returns><Amount>6</Amount><ROI>2.5</ROI><Year>2002</Year></Returns></Investment></Investments>"""
+    )
+    parsed = parse_nested(read_xml(spark, str(tmp_path), "Investment")).first()
+    assert [i["OwnershipPercentage"] for i in parsed["investors_array"]["Investor"]] == [60.0, 40.0]
+    assert [r["Year"] for r in parsed["returns_array"]] == [2001, 2002]
+    declared = spark.createDataFrame([], "Id int").schema.add("Investors", XML_INVESTORS).add("Returns", XML_RETURNS)
+    assert read_xml(spark, str(tmp_path), "Investment", declared).first()["Returns"][1]["Amount"] == 6.0
+
+
+def test_event_json(spark, tmp_path):
+    (tmp_path / "x.json").write_text(
+        '{"parcl_property_id": 5, "bathrooms": 1.5, "events": [{"event_type": "SALE", "price": 7}]}\n'
+    )
+    row = read_event_json(spark, str(tmp_path)).first()
+    assert (row["parcl_property_id"], row["events"][0]["price"], row["city"]) == (5, 7.0, None)
+
+
+def test_append_only_if_there_is_something(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert not append_if_any(spark.range(0), path)
+    assert append_if_any(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_evolving_append(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append_evolving(spark.createDataFrame([(1, "a")], "k int, v string"), path)
+    append_evolving(spark.createDataFrame([(2, 5.0)], "k int, w double"), path)
+    assert rows(read_evolving(spark, path), "k", "v", "w") == {(1, "a", None): 1, (2, None, 5.0): 1}
+
+
+def test_snapshot_may_read_the_one_it_replaces(spark, tmp_path):
+    root = str(tmp_path / "t")
+    first = overwrite_snapshot(spark.range(10), root)
+    overwrite_snapshot(spark.read.parquet(first).where("id > 6"), root)
+    assert [spark.read.parquet(p).count() for p in snapshots(spark, root)] == [10, 3]
+    # A snapshot a failed job left behind is no snapshot, and its name is not used again.
+    (tmp_path / "t" / "v=000002").mkdir()
+    assert len(snapshots(spark, root)) == 2
+    assert overwrite_snapshot(spark.range(1), root).endswith("v=000003")
+
+
+def test_partitioned_write_prunes_and_clusters(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(100).select((F.col("id") % 3 + 2000).alias("year"), (F.col("id") % 7).alias("investor_company_nm_txt"))
+    write_partitioned(df, path)
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.is_dir()) == ["year=2000", "year=2001", "year=2002"]
+    one = spark.read.parquet(path).where("year = 2001")
+    assert "PartitionFilters: [isnotnull(year" in one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() == 33
+
+
+def test_create_tables_replaces(spark, tmp_path):
+    layouts = {"bronze.t": TABLES["bronze.brnz_goog_prop_add_dtl"]}
+    (name,) = create_tables(spark, layouts, str(tmp_path), "unit_")
+    spark.range(3).selectExpr("id as brnz_goog_prop_address_dtl_sk").write.mode("append").option(
+        "mergeSchema", True
+    ).parquet(str(tmp_path / "unit_bronze" / "t"))
+    create_tables(spark, layouts, str(tmp_path), "unit_")
+    assert name == "unit_bronze.t" and spark.table(name).isEmpty()
+    # D24
+    assert dict(spark.table(name).dtypes)["load_date_dt"] == "date"
+    assert dict(TABLES["silver.slvr_int_inv_dtl_profile"].jsonValue()["fields"][9])["name"] == "list_zips"
+    assert TABLES["bronze.brnz_prcl_prop_sales_dtl"]["prop_latitude_val"].dataType.simpleString() == "decimal(9,6)"
+
+
+def test_lake_fills_missing_columns(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    layout = TABLES["bronze.brnz_goog_prop_add_dtl"]
+    assert lake.read("bronze.x", layout).isEmpty()
+    lake.append("bronze.x", spark.createDataFrame([("C", 1)], "prop_city_nm string, etl_nr int"), layout)
+    assert lake.read("bronze.x", layout).select("prop_city_nm", "etl_nr", "prop_zip_cd").first() == ("C", 1, None)
+
+
+def test_shared_folder_is_the_named_one(spark):
+    assert fresh_path(spark, "x").startswith(shared_dir(spark)) and fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_synthetic_rows_repeat_and_stay_in_range(spark):
+    ids = spark.range(3000)
+    feed = synth_sales(ids, date(2001, 8, 1))
+    assert feed.schema.names == SALES_FEED.names
+    assert [f.dataType for f in feed.schema] == [f.dataType for f in SALES_FEED]
+    assert rows(feed) == rows(synth_sales(ids.repartition(7), date(2001, 8, 1)))
+    assert feed.where(
+        ~F.col("Bedrooms").between(1, 6) | ~F.col("Bathrooms").between(1, 4) | ~F.col("Building Sqft").between(600, 5000)
+        | ~F.col("Last Sale Amount").between(50_000, 1_000_000) | (F.col("`Est. Value`") < F.col("Last Sale Amount") - 1)
+        | (F.col("Last Sale Date") > "2001-08-01")
+    ).isEmpty()
+    parcels = synth_parcels(ids, date(2001, 8, 1))
+    assert parcels.schema.names == TABLES["bronze.brnz_prcl_prop_sales_dtl"].names
+    nulls = parcels.select(
+        F.avg(F.col("investor_company_nm_txt").isNull().cast("int")), F.avg(F.col("prop_list_price_amt").isNull().cast("int"))
+    ).first()
+    assert nulls[0] == pytest.approx(0.1, abs=0.03) and nulls[1] == pytest.approx(0.2, abs=0.03)
+
+
+def test_stream_equals_batch_and_rests_without_files(spark, tmp_path):
+    landing, sink, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    rows_in = spark.range(200).select((F.col("id") % 120).alias("k"), F.lit("v").alias("v"))
+    rows_in.repartition(5).write.parquet(landing)
+    merge = insert_new_into(sink, rows_in.schema, ["k"])
+
+    def take_in():
+        query = incremental_ingest(spark, landing, rows_in.schema, merge, progress, files_per_batch=2)
+        query.awaitTermination()
+        return query.lastProgress
+
+    take_in()
+    state = spark.read.parquet(sink)
+    assert rows(state, "k", "v") == rows(rows_in.distinct())
+    batches = state.select(BATCH).distinct().count()
+    assert batches > 1
+    take_in()
+    assert rows(spark.read.parquet(sink)) == rows(state)
+    # The same batch once more, as after a failure between write and commit.
+    merge(rows_in.where("k < 10"), batches - 1)
+    assert spark.read.parquet(sink).where(F.col(BATCH) < batches - 1).count() == state.where(F.col(BATCH) < batches - 1).count()
+    spark.range(500, 520).select(F.col("id").alias("k"), F.lit("v").alias("v")).write.mode("append").parquet(landing)
+    take_in()
+    assert spark.read.parquet(sink).where("k >= 500").count() == 20
