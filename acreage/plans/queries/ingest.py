@@ -38,7 +38,7 @@ KEYS = ", ".join(views.SALE_KEY)
 )
 def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     landing = fresh_path(spark, "landing")
-    sales_feed(views.sales(spark, folder)).write.option("header", True).csv(landing)
+    sales_feed(views.sales(spark, folder, dealt=True)).write.option("header", True).csv(landing)
     feed = readers.read_sales_csv(spark, landing)
     return plain(
         feed.select(
@@ -64,14 +64,14 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
 )
 def csv_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     landing = fresh_path(spark, "landing")
-    rows = views.base(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    rows = views.spread(views.base(spark, folder, "lineitem")).select("l_orderkey", "l_linenumber", "l_returnflag")
     rows.write.option("header", True).option("delimiter", "|").csv(landing)
     return row_counts(readers.read_csv_inferred(spark, landing, delimiter="|"))
 
 
 def landed_xml(spark: SparkSession, folder: str) -> str:
     landing = fresh_path(spark, "landing")
-    documents = investments(views.base(spark, folder, "orders"))
+    documents = investments(views.spread(views.base(spark, folder, "orders")))
     documents.write.format("xml").option("rootTag", "Investments").option("rowTag", "Investment").save(landing)
     return landing
 
@@ -152,7 +152,7 @@ def event_json_flatten(spark: SparkSession, folder: str) -> DataFrame:
 def table_scan(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "table")
     name = f"acreage_sales_{path[-12:]}"
-    views.sales(spark, folder).write.option("path", path).saveAsTable(name)
+    views.sales(spark, folder, dealt=True).write.option("path", path).saveAsTable(name)
     return (
         readers.read_table(spark, name)
         .groupBy("prop_state_nm", "prop_zip_cd")
@@ -176,7 +176,7 @@ def empty_tables(spark: SparkSession, folder: str) -> DataFrame:
     root = fresh_path(spark, "tables")
     prefix = f"acreage_{root[-12:]}_"
     writers.create_tables(spark, TABLES, root, prefix)
-    rows = views.sales(spark, folder).withColumn("year", F.year("prop_last_sale_dt"))
+    rows = views.sales(spark, folder, dealt=True).withColumn("year", F.year("prop_last_sale_dt"))
     writers.append_if_any(
         writers.fit(rows, TABLES[jobs.SILVER_SALES]),
         f"{root}/{prefix}{jobs.SILVER_SALES.replace('.', '/')}",
@@ -209,7 +209,7 @@ def per_batch(df: DataFrame) -> DataFrame:
 @query(views.sql_with("sales", then=f"{BATCH_SQL} GROUP BY etl_nr"))
 def append_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "table")
-    sales = views.sales(spark, folder)
+    sales = views.sales(spark, folder, dealt=True)
     day = F.col("prop_last_sale_dt")
     writers.append_batch(sales.where(day < "1999-01-01"), path)
     writers.append_batch(sales.where(day >= "1999-01-01"), path)
@@ -220,7 +220,7 @@ def append_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def overwrite_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """All sales, then a snapshot made from the first one that lacks the old ones."""
     root = fresh_path(spark, "snapshots")
-    first = writers.overwrite_snapshot(views.sales(spark, folder), root)
+    first = writers.overwrite_snapshot(views.sales(spark, folder, dealt=True), root)
     later = spark.read.parquet(first).where(F.col("prop_last_sale_dt") >= "1999-01-01")
     writers.overwrite_snapshot(later, root)
     return per_batch(spark.read.parquet(writers.snapshots(spark, root)[-1]))
@@ -237,7 +237,7 @@ def overwrite_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 )
 def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "table")
-    sales = views.sales(spark, folder).withColumn("year", F.year("prop_last_sale_dt"))
+    sales = views.sales(spark, folder, dealt=True).withColumn("year", F.year("prop_last_sale_dt"))
     writers.write_partitioned(sales, path)
     per_investor = (
         spark.read.parquet(path)
@@ -263,7 +263,7 @@ def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
     """An append without the list price that brings the county."""
     path = fresh_path(spark, "table")
-    sales = views.sales(spark, folder)
+    sales = views.sales(spark, folder, dealt=True)
     day = F.col("prop_last_sale_dt")
     writers.append_evolving(sales.where(day < "1999-01-01").select(*views.SALE_KEY, "prop_list_price_amt"), path)
     writers.append_evolving(sales.where(day >= "1999-01-01").select(*views.SALE_KEY, "prop_cnty_nm"), path)

@@ -13,7 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.parquet.enableVectorizedReader": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
