@@ -4,7 +4,7 @@ import functools
 import operator
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreage.schemas import ACTIVITY
@@ -85,6 +85,8 @@ def row_as_text(columns: Sequence[str]) -> Column:
     return F.to_json(F.struct(*[named(c).cast("string").alias(c) for c in columns]))
 
 
-def row_hash(columns: Sequence[str]) -> Column:
-    """A value that spreads rows evenly and is the same whenever a task is run again."""
-    return F.xxhash64(*[named(c) for c in columns])
+def row_hash(df: DataFrame) -> Column:
+    """A value that spreads rows evenly and is the same whenever a task is run again. Columns
+    with maps, which have no hash, are left out."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    return F.xxhash64(*[named(c) for c, kind in kinds.items() if "map<" not in kind])

@@ -21,7 +21,7 @@ def zero(keys: Sequence[str]) -> Column:
 
 def spread_null_keys(df: DataFrame, keys: Sequence[str], name: str = "_spread") -> DataFrame:
     """Add a join key that is 0 for whole keys and scatters the rows whose key has a NULL."""
-    scattered = F.pmod(row_hash(df.columns), F.lit(NULL_KEY_SPREAD)).cast("int")
+    scattered = F.pmod(row_hash(df), F.lit(NULL_KEY_SPREAD)).cast("int")
     return df.withColumn(name, F.when(all_present(keys), zero(keys)).otherwise(scattered))
 
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,6 +149,38 @@ class Lake:
             return self.spark.createDataFrame([], layout)
         return self.spark.read.schema(layout).parquet(written[-1])
 
+    def advance(self, table: str, df: DataFrame, layout: T.StructType, still_open: Column) -> DataFrame:
+        """Write what one load makes of a table whose settled rows never change again.
+
+        ``df`` holds the rows that were open before, the new ones, and nothing else. Those with
+        ``still_open`` replace the open rows, the others join the settled ones, which no load
+        reads or writes a second time. The folder's success mark is the commit: a load that
+        failed half-way is not seen, and writes the same folder when it runs again.
+        """
+        number = self._last(table) + 1
+        rows = fit(df, layout).withColumn("open", F.coalesce(still_open, F.lit(False)))
+        rows.write.mode("overwrite").partitionBy("open").parquet(f"{self.path(table)}/v={number:06d}")
+        return self.state(table, layout)
+
+    def state(self, table: str, layout: T.StructType) -> DataFrame:
+        """All rows of such a table: the last load's open ones and every load's settled ones."""
+        last = self._last(table)
+        return self._loads(table, layout, (F.col("v") == last) | ((F.col("v") < last) & ~F.col("open")))
+
+    def open_rows(self, table: str, layout: T.StructType) -> DataFrame:
+        return self._loads(table, layout, (F.col("v") == self._last(table)) & F.col("open"))
+
+    def _last(self, table: str) -> int:
+        done = snapshots(self.spark, self.path(table))
+        return int(done[-1].rsplit("v=", 1)[1]) if done else -1
+
+    def _loads(self, table: str, layout: T.StructType, wanted: Column) -> DataFrame:
+        if self._last(table) < 0:
+            return self.spark.createDataFrame([], layout)
+        stored = T.StructType([*layout.fields, T.StructField("v", T.LongType()), T.StructField("open", T.BooleanType())])
+        rows = self.spark.read.schema(stored).parquet(self.path(table)).where(wanted)
+        return rows.select(*layout.names)
+
 
 def fit(df: DataFrame, layout: T.StructType) -> DataFrame:
     """Project onto a layout: columns by name and type, missing ones NULL."""

@@ -1,4 +1,5 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ def test_each_load_is_the_next_batch_with_the_next_keys(spark, lake):
 
 
 def test_investors_get_a_new_version_when_their_sales_change(spark, lake):
-    before = lake.newest(jobs.INVESTORS, TABLES[jobs.INVESTORS])
+    before = jobs.dimension(lake)
     jobs.bronze_sales(lake, feed(spark, 200, 230), TWO)
     jobs.silver_sales(lake, TWO)
     after = jobs.investors(lake, TWO)
@@ -65,7 +66,7 @@ def test_investors_get_a_new_version_when_their_sales_change(spark, lake):
 
 def test_parcels_to_sales_detail(spark, lake):
     # D25: the two loads of the sales detail run one after the other and keep each other's rows.
-    box = jobs.buy_boxes(jobs.current_rows(lake.newest(jobs.INVESTORS, TABLES[jobs.INVESTORS]))).first()
+    box = jobs.buy_boxes(jobs.current_rows(jobs.dimension(lake))).first()
     response = [
         (
             i, box["attr_br_cnt"], float(box["attr_bth_cnt"]), box["min_sqft"], box["min_year"] + 1, f"{i} A St", "C", "TX",
@@ -90,5 +91,9 @@ def test_parcels_to_sales_detail(spark, lake):
     latest = jobs.latest_batch(jobs.table(lake, jobs.BRONZE_SALES)).count()
     assert merged.count() == pairs.count() + latest
     assert sorted(r["slvr_int_prop_dtl_sk"] for r in merged.collect()) == list(range(1, merged.count() + 1))
+    # Settled rows are not written again: the last load's folder holds the open ones only.
+    folders = sorted(p.name for p in Path(lake.path(jobs.SALES_DETAIL)).iterdir() if p.is_dir())
+    assert folders == ["v=000000", "v=000001"]
+    assert spark.read.parquet(f"{lake.path(jobs.SALES_DETAIL)}/v=000001").count() == latest
     # The same sales again: every row is kept, and ties are all the latest.
     assert jobs.sales_history(lake, TWO).where("usraddr is not null and latest_record_ind").count() == 2 * latest

@@ -169,3 +169,19 @@ def test_stream_equals_batch_and_rests_without_files(spark, tmp_path):
     spark.range(500, 520).select(F.col("id").alias("k"), F.lit("v").alias("v")).write.mode("append").parquet(landing)
     take_in()
     assert spark.read.parquet(sink).where("k >= 500").count() == 20
+
+
+def test_a_load_that_failed_half_way_is_not_seen(spark, tmp_path):
+    lake, layout = Lake(spark, str(tmp_path)), TABLES["bronze.brnz_goog_prop_add_dtl"]
+
+    def addresses(*numbers):
+        return spark.createDataFrame([(n,) for n in numbers], "etl_nr bigint")
+
+    lake.advance("t", addresses(1, 2, 3), layout, F.col("etl_nr") > 1)
+    assert rows(lake.open_rows("t", layout), "etl_nr") == {(2,): 1, (3,): 1}
+    lake.advance("t", addresses(2, 3, 4), layout, F.col("etl_nr") > 2)
+    (tmp_path / "t" / "v=000001" / "_SUCCESS").unlink()
+    assert rows(lake.state("t", layout), "etl_nr") == {(1,): 1, (2,): 1, (3,): 1}
+    again = lake.advance("t", addresses(2, 3, 4), layout, F.col("etl_nr") > 2)
+    assert rows(again, "etl_nr") == {(1,): 1, (2,): 1, (3,): 1, (4,): 1}
+    assert rows(lake.open_rows("t", layout), "etl_nr") == {(3,): 1, (4,): 1}
