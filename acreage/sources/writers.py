@@ -129,11 +129,14 @@ class Lake:
         """Append in the table's layout: columns by name, missing ones NULL.
 
         Rows go to a folder per batch, and per year where the table has one, so reading the
-        latest batch or some years leaves the other folders alone.
+        latest batch or some years leaves the other folders alone. A load is one batch, so
+        only years have to be gathered before they are written.
         """
-        folders = [c for c in ("etl_nr", "year") if c in layout.names]
-        within = [c for c in ("investor_company_nm_txt",) if c in layout.names]
-        write_partitioned(fit(df, layout), self.path(table), folders, within)
+        rows, path = fit(df, layout), self.path(table)
+        if "year" in layout.names:
+            write_partitioned(rows, path, ["etl_nr", "year"], ["investor_company_nm_txt"])
+        else:
+            rows.write.mode("append").partitionBy("etl_nr").parquet(path)
         return self.read(table, layout)
 
     def replace(self, table: str, df: DataFrame, layout: T.StructType) -> DataFrame:
