@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from acreage.operators import keys
 from acreage.operators.changes import arrivals, change_feed, deleted_for_good
 from acreage.plans import views
-from acreage.plans.registry import plain, query
+from acreage.plans.registry import query
 
 KEYS = ", ".join(views.SALE_KEY)
 
