@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import bpe, linededup, packing
+from acreage.llm import bpe, linededup, packing, pii, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,6 +35,24 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query()
+def op1_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: counts and places."""
+    found = pii.find(table(spark, folder, "documents").select("doc_id", "text"))
+    names = [k.name for k in pii.BASE]
+    base = F.filter("pii", lambda s: s["order"] < len(names))
+
+    def number(name: str):
+        return F.size(F.filter("pii", lambda s: s["kind"] == name)).cast("long").alias(f"n_{name}")
+
+    return found.select(
+        "doc_id",
+        *[number(n) for n in names],
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("pii")).alias("spans"),
+    )
+
+
 @query()
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Encode every document, decode it again, and return digests of both."""
@@ -55,6 +73,22 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.pieces(encoded))
 
 
+OP6_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+firsts AS (SELECT payload, min(page_id) AS first FROM payloads GROUP BY payload)
+SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+  CASE WHEN strlen(payload) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN strlen(payload) >= 100 AND page_id <> first THEN first END AS refers_to
+FROM payloads JOIN firsts USING (payload)
+"""
+
+
+@query(OP6_SQL)
+def op6_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Write every page to web archives, normalise them, and read the records back."""
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 OP7_SQL = r"""
 WITH texts AS (
   SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
