@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import bpe, linededup, packing, pii, warc
+from acreage.llm import bpe, langid, linededup, packing, pii, warc
+from acreage.llm.common import remainder
 
+LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 4, 2
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -118,3 +120,13 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query()
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, folder, "documents")
+    held_out = remainder("doc_id", LANGUAGE_FOLDS) == LANGUAGE_HELD_OUT
+    trees = langid.train(docs.where(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return langid.predict(rows, trees, ("doc_id", "held_out"))
