@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from acreage.llm.common import small_batches
 
 # Words whose encodings a Python worker remembers between batches.
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 400_000
 # A longer text is cut at white space, which no token spans.
 LONG_TEXT = 4_000_000
 
@@ -290,23 +290,28 @@ def vocabulary(path: str) -> WordBPE:
     return WordBPE(path)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), decoded: bool = False
+) -> DataFrame:
     """``keep`` and ``ids``, the binary ids of each row's whole text; none for NULL and empty texts.
 
-    Rows are encoded where they are read; only the two kinds of columns leave the task. ``path``
-    is a vocabulary file that every executor can open, such as one of an installed package.
+    Rows are encoded where they are read; only these columns leave the task. ``path`` is a
+    vocabulary file that every executor can open, such as one of an installed package. With
+    ``decoded`` the ids are decoded again in the same worker, into a column of that name.
     """
-    rows = docs.select(*keep, F.col(text).alias("_text"))
+    rows = docs.select(*keep, F.col(text).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         for batch in small_batches(batches, "_text"):
-            ids = pa.array(bpe.encode(batch.column("_text").to_pylist()), pa.binary())
-            kept = [batch.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays([*kept, ids], names=[*keep, "ids"])
+            ids = bpe.encode(batch.column("_text").to_pylist())
+            columns = [*(batch.column(c) for c in keep), pa.array(ids, pa.binary())]
+            if decoded:
+                columns.append(pa.array(bpe.decode(ids), pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "ids", "decoded"][: len(columns)])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    return rows.mapInArrow(run, f"{kinds}, ids binary")
+    return rows.mapInArrow(run, f"{kinds}, ids binary" + ", decoded string" * decoded)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

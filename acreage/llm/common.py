@@ -6,11 +6,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters of text a task turns into Python objects at a time.
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 2_000_000
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
@@ -30,8 +30,3 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iter
 def remainder(of: str, modulus: int) -> Column:
     """crc32 of a column as text, modulo: how labelled rows are held out. NULL counts as ''."""
     return F.crc32(F.coalesce(F.col(of).cast("string"), F.lit("")).cast("binary")) % modulus
-
-
-def only(df: DataFrame, *columns: str) -> DataFrame:
-    """Some columns by name, whatever else the table holds."""
-    return df.select(*columns)

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import bpe, langid, linededup, packing, pii, warc
+from acreage.llm import bpe, langid, linededup, packing, pii, toxicity, warc
 from acreage.llm.common import remainder
 
+TOXICITY_FOLDS, TOXICITY_HELD_OUT = 5, 0
 LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 4, 2
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,12 +56,22 @@ def op1_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """A toxicity score for every document, learned from labels that are not held out."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = remainder("doc_id", TOXICITY_FOLDS) == TOXICITY_HELD_OUT
+    weights = toxicity.train(docs, labels.where(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    scored = toxicity.score(rows, weights, ("doc_id", "held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @query()
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Encode every document, decode it again, and return digests of both."""
-    path = vocabulary_path()
-    decoded = bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path)
-    return decoded.select(
+    both = bpe.encode(table(spark, folder, "documents"), vocabulary_path(), decoded=True)
+    return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
