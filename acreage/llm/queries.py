@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import bpe, langid, linededup, packing, pii, toxicity, warc
+from acreage.llm import bpe, langid, linededup, ordermin, packing, pii, toxicity, warc
 from acreage.llm.common import remainder
 
 TOXICITY_FOLDS, TOXICITY_HELD_OUT = 5, 0
@@ -133,6 +133,13 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op8_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of near duplicates of every document."""
+    classes, _ = ordermin.near_duplicates(table(spark, folder, "documents"))
+    return classes.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
 @query()
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""

@@ -23,6 +23,8 @@ RECORDS_PER_FILE = 10_000
 # Bytes of a compressed stream that are inflated at a time.
 STEP = 1 << 20
 BREAK = "\r\n"
+# Tasks that read archives; each archive is read by one.
+MOST_TASKS = 10_000
 # Fixed values of the archive format.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_DATE = "2000-01-01T00:00:00Z"
@@ -261,7 +263,8 @@ def round_trip(pages: DataFrame) -> DataFrame:
     whole, members = fresh_path(spark, "warc-streams"), fresh_path(spark, "warc-members")
     write(pages, whole)
     archives = normalise(whole, members, spark)
-    rows = read(archives.repartition(F.col("archive")), members).select(
+    tasks = max(1, min(archives.count(), MOST_TASKS))
+    rows = read(archives.repartition(tasks), members).select(
         "page_id", F.octet_length("payload").cast("long").alias("size"), "digest", "record_type", "refers_to"
     )
     rows = stored(rows)
