@@ -29,7 +29,7 @@ SAMPLE_PER_LANGUAGE = 600
 # Languages that are learned: those with the most texts.
 MAX_LANGUAGES = 256
 # Pairs of context and byte that reach the driver: the most frequent ones.
-MAX_ENTRIES = 500_000
+MAX_ENTRIES = 300_000
 # Contexts in the trees, and numbers in the table of code lengths: the bound of what is broadcast.
 MAX_CONTEXTS = 12_288
 MAX_NUMBERS = 16_000_000

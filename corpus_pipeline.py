@@ -3,18 +3,49 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from acreage.llm import linededup
+from acreage.llm import bpe, langid, linededup, ordermin, packing, pii
+from acreage.llm.queries import vocabulary_path
 from acreage.session import fresh_path
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go: no text, or none with a letter. Learns from all others."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    found = langid.predict(rows, langid.train(docs), ("row",))
+    return found.where(F.col("lang_pred") != langid.UNKNOWN).select("row.*")
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that at least ten documents share go; the documents stay."""
-    return linededup.drop_common_lines(docs).drop("n_lines", "n_dropped")
+    return linededup.drop_common_lines(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest doc_id."""
+    return ordermin.keep_one(docs)
+
+
+def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; the documents stay."""
+    return pii.mask(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's tokens, closed by id 0, in sequences of at most 2048."""
+    return packing.pack(packing.pieces(bpe.encode(docs, vocabulary_path())))
 
 
-STAGES = [("line dedup", line_dedup)]
+STAGES = [
+    ("language ID", language_id),
+    ("line dedup", line_dedup),
+    ("near dedup", near_dedup),
+    ("PII", mask_pii),
+    ("packing", pack),
+]
 
+# No stage but two can be put in SQL; the tests hold run() against plain Python instead.
 ORACLE_SQL = None
 
 
