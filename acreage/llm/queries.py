@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import bpe, langid, linededup, ordermin, packing, pii, toxicity, warc
+from acreage.llm import bpe, langid, linededup, ordermin, packing, pii, projections, topk, toxicity, warc
 from acreage.llm.common import remainder
 
 TOXICITY_FOLDS, TOXICITY_HELD_OUT = 5, 0
@@ -86,6 +86,30 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.pieces(encoded))
 
 
+OP5_SQL = """
+WITH RECURSIVE numbers AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+), comparable AS (
+  SELECT vec_id, v FROM numbers WHERE vec_id IS NOT NULL AND v IS NOT NULL
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM comparable a JOIN comparable b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reached AS (
+  SELECT vec_id, vec_id AS root FROM embeddings UNION SELECT b, root FROM reached JOIN links ON vec_id = a
+), roots AS (SELECT vec_id, min(root) AS component_id FROM reached GROUP BY vec_id),
+degrees AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM roots LEFT JOIN degrees USING (vec_id)
+"""
+
+
+@query(OP5_SQL)
+def op5_projection_passes(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate vectors: links, components and what is kept."""
+    return projections.near_duplicates(table(spark, folder, "embeddings"))
+
+
 OP6_SQL = """
 WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 firsts AS (SELECT payload, min(page_id) AS first FROM payloads GROUP BY payload)
@@ -148,3 +172,25 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     trees = langid.train(docs.where(~held_out))
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
     return langid.predict(rows, trees, ("doc_id", "held_out"))
+
+
+OP10_SQL = """
+WITH numbers AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM numbers q JOIN numbers c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+
+@query(OP10_SQL)
+def op10_pivot_distance_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best partners of every twentieth vector."""
+    return topk.search(table(spark, folder, "embeddings"))
