@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -58,3 +60,18 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has been written to yet."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def share_code(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once per session.
+
+    Workers that were started elsewhere than in the repository find it then too. A cluster that
+    has the package installed does not need it, and is not harmed.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_acreage_shared", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='acreage-code-')}/acreage", "zip", root, "acreage")
+    context.addPyFile(archive)
+    context._acreage_shared = True
