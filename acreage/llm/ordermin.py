@@ -7,7 +7,6 @@ passages in another order do not agree on it. Texts that agree on a whole sketch
 
 The similarity of two texts is M / (n1 + n2 - M), where M is the length of the longest common
 subsequence of their labelled shingles: the Jaccard similarity of what stands in the same order.
-One minus it is a metric, which rules out pairs that need no alignment.
 """
 
 from __future__ import annotations
@@ -28,16 +27,15 @@ from acreage.sources.writers import stored
 # Words of a shingle, and the similarity from which two texts are linked.
 SHINGLE = 5
 SIMILARITY = 0.8
-# The band of the alignment is what pairs of this similarity can need, so that similarities from
-# here on are exact, and smaller ones are known to be smaller.
-EXACT_FROM = 0.5
 # Sketches of a text and shingles of a sketch. Two texts of similarity 0.8 agree on a sketch with
 # a chance of about 0.8**4, so on none of 24 with a chance of about 3 in a million.
 SKETCHES, SAMPLED = 24, 4
 # Numbers of the table of one text's ranks that are held at a time.
 TABLE = 1 << 20
 # Partners of a text that one task aligns.
-PARTNERS = 1024
+PARTNERS = 256
+# Texts and shingles of them that one task compares with as many others, and columns of its table.
+BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 400_000, 4096
 
 ODD = np.random.default_rng(8).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) | np.uint64(1)
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -92,7 +90,7 @@ def sketches(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def similarity(left: np.ndarray, right: np.ndarray, least: float = EXACT_FROM) -> float:
+def similarity(left: np.ndarray, right: np.ndarray, least: float = SIMILARITY) -> float:
     """The similarity of two sequences of labelled shingles, exact if it is ``least`` or more.
 
     Labels are distinct, so the longest common subsequence is the longest rising run of places.
@@ -198,6 +196,73 @@ def aligned(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, similarity double")
 
 
+def unsettled_links(pairs: DataFrame, nodes: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between members of a hub's group that are not connected yet.
+
+    Only groups that fell apart are looked at. Their members are dealt into blocks of bounded
+    size, and each pair of blocks is compared in one task: how many shingles any two texts have in
+    common comes from one product of tables, and what is similar by that count is aligned. Only
+    links are emitted, one for each two parts they connect there.
+    """
+    groups = pairs.select(F.col("a").alias("node"), F.col("b").alias("hub"))
+    groups = groups.unionByName(groups.select(F.col("hub").alias("node"), "hub").distinct())
+    settled = nodes.select("node", "n").join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"))
+    groups = stored(groups.join(settled, "node"))
+    parts = F.ceil(F.greatest(F.count("*") / (BLOCK / 2), F.sum("n") / (BLOCK_SHINGLES / 2))).cast("int").alias("parts")
+    apart = groups.groupBy("hub").agg(parts, (F.min("root") < F.max("root")).alias("apart")).where("apart").drop("apart")
+    rows = groups.join(stored(apart), "hub").join(texts, "node")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    rows = rows.select("hub", "node", "root", "text", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    rows = rows.select("hub", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "root", "text")
+    return rows.groupBy("hub", "low", "high").applyInArrow(_links_within, "a long, b long")
+
+
+def _links_within(table: pa.Table) -> pa.Table:
+    low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+    own, nodes, roots = (np.asarray(table.column(c)) for c in ("own", "node", "root"))
+    found: list[tuple[int, int]] = []
+    if roots.min() < roots.max():
+        words, of = word_hashes(table.column("text").to_pylist())
+        cuts = np.searchsorted(of, np.arange(len(nodes) + 1)).tolist()
+        texts = [labelled(words[a:b]) for a, b in zip(cuts, cuts[1:])]
+        here, there = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        sizes = np.array([len(t) for t in texts])
+        common = in_common(texts, here, there)
+        alike = common >= SIMILARITY * (sizes[here][:, None] + sizes[there][None, :] - common)
+        alike &= roots[here][:, None] != roots[there][None, :]
+        joined = {r: r for r in roots.tolist()}
+
+        def top(root: int) -> int:
+            while joined[root] != root:
+                root = joined[root]
+            return root
+
+        for i, j in zip(*np.nonzero(alike)):
+            left, right = here[i], there[j]
+            a, b = top(int(roots[left])), top(int(roots[right]))
+            if a != b and similarity(texts[left], texts[right]) >= SIMILARITY:
+                joined[max(a, b)] = min(a, b)
+                found.append((int(nodes[left]), int(nodes[right])))
+    return pa.table({c: pa.array([pair[k] for pair in found], pa.int64()) for k, c in enumerate("ab")})
+
+
+def in_common(texts: list[np.ndarray], here: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """How many labelled shingles each text of one list has in common with each of another."""
+    of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    _, number, times = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
+    again = times[number] > 1
+    of, number = of[again], np.unique(number[again], return_inverse=True)[1]
+    order = np.argsort(number, kind="stable")
+    of, number = of[order], number[order]
+    common = np.zeros((len(here), len(there)), np.float32)
+    for start in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        a, b = np.searchsorted(number, (start, start + COLUMNS))
+        table = np.zeros((len(texts), COLUMNS), np.float32)
+        table[of[a:b], number[a:b] - start] = 1
+        common += table[here] @ table[there].T
+    return common
+
+
 def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every row of ``doc_id`` and ``text`` with its class, and the classes' rows that stay.
 
@@ -208,52 +273,27 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Nodes that agree on a sketch share a bucket. First each is aligned with the bucket's hub, the
     member that shares most buckets with others, so a group of any size costs a pair per member.
-    Members that are not connected to the hub then are paired with the bucket's others, unless
-    they are connected by other ways or their lengths or distances from the hub show that they
-    cannot be similar. So every pair that shares a bucket is linked, connected or ruled out.
+    Where that leaves members of a hub's group unconnected, they are compared with all others of
+    the group. So every two nodes that share a bucket are connected, or known not to be similar.
     """
     rows = stored(sketched(docs))
     some = rows.where(F.col("n") > 0)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "x1", "x2", "n", "sketches")).alias("row")
     nodes = some.groupBy("w1", "w2").agg(least).select("w1", "w2", "row.doc_id", "row.x1", "row.x2", "row.n", "row.sketches")
     nodes = stored(nodes.withColumnRenamed("doc_id", "first").withColumn("node", F.monotonically_increasing_id()))
-    members = nodes.select("node", "n", F.posexplode("sketches").alias("sketch", "key"))
+    members = nodes.select("node", F.posexplode("sketches").alias("sketch", "key"))
     shared = stored(members.groupBy("sketch", "key").agg(F.count("*").alias("size")).where("size > 1"))
     members = stored(members.join(shared, ["sketch", "key"]))
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
     members = stored(members.drop("size").join(weight, "node"))
     hub = F.max(F.struct("weight", (-F.col("node")).alias("node")))["node"]
     hubs = stored(members.groupBy("sketch", "key").agg((-hub).alias("hub")))
-    members = stored(members.drop("weight").join(hubs, ["sketch", "key"]))
+    pairs = members.join(hubs, ["sketch", "key"]).where("node <> hub")
+    pairs = stored(pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
     texts = stored(texts_of(docs, nodes.join(members.select("node").distinct(), "node", "left_semi")))
-    pairs = stored(members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
-    tested = stored(aligned(pairs, texts))
-    links = tested.where(F.col("similarity") >= SIMILARITY).select("a", "b")
+    links = stored(aligned(pairs, texts).where(F.col("similarity") >= SIMILARITY).select("a", "b"))
     roots = components(links)
-
-    # What a hub did not settle.
-    known = members.join(tested.select(F.col("a").alias("node"), F.col("b").alias("hub"), "similarity"), ["node", "hub"], "left")
-    known = known.join(roots, "node", "left").select(
-        "sketch", "key", "node", "n", F.coalesce("root", "node").alias("root"), (1 - F.coalesce("similarity", F.lit(1.0))).alias("far")
-    )
-    known = stored(known)
-    open_ = known.groupBy("sketch", "key").agg((F.min("root") < F.max("root")).alias("open")).where("open").drop("open")
-    open_ = stored(known.join(open_, ["sketch", "key"], "left_semi"))
-    left, right = (open_.select("sketch", "key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "root", "far")]) for s in "ab")
-    reach, near, off = 1 - SIMILARITY + 1e-9, F.least("far_a", "far_b"), F.greatest("far_a", "far_b")
-    # Distances up to 1 - EXACT_FROM are exact; beyond, all that is known is that they are beyond.
-    may_meet = (off - near <= reach) | ((off > 1 - EXACT_FROM) & (near > 1 - EXACT_FROM - reach))
-    may_link = (
-        (F.col("node_a") < F.col("node_b"))
-        & (F.col("root_a") != F.col("root_b"))
-        & (F.least("n_a", "n_b") >= SIMILARITY * F.greatest("n_a", "n_b"))
-        & may_meet
-        & (F.col("far_a") > 0)
-        & (F.col("far_b") > 0)
-    )
-    more = left.join(right, ["sketch", "key"]).where(may_link).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    more = stored(more.distinct())
-    links = links.unionByName(aligned(more, texts).where(F.col("similarity") >= SIMILARITY).select("a", "b"))
+    links = links.unionByName(unsettled_links(pairs, nodes, roots, texts))
     roots = components(links)
 
     whole = stored(nodes.join(roots, "node", "left").select("w1", "w2", "first", "x1", "x2", F.coalesce("root", "node").alias("root")))
