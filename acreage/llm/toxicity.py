@@ -138,7 +138,10 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Weights:
-    """Fit on a bounded sample of labelled documents: features in many tasks, the passes in one."""
+    """Fit on a bounded sample of labelled documents: features in many tasks, the passes in one.
+
+    Without a labelled document every score is a half.
+    """
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -164,7 +167,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Weights:
     examples = sample(docs, labels, rows).mapInArrow(extract, "place long, toxic int, features array<int>")
     # One place to learn in: the sample's bound is what makes this fit.
     fitted = examples.repartition(1).sortWithinPartitions("place", "toxic", "features")
-    row = fitted.mapInArrow(fit, "bias double, numbers array<int>, values array<float>").collect()[0]
+    found = fitted.mapInArrow(fit, "bias double, numbers array<int>, values array<float>").collect()
+    if not found:
+        return Weights(np.empty(0, np.int32), np.empty(0, np.float32), 0.0)
+    row = found[0]
     return Weights(np.array(row["numbers"], np.int32), np.array(row["values"], np.float32), row["bias"])
 
 
