@@ -8,21 +8,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acreage.functions.columns import all_present, named, row_hash
-
-# Rows with a NULL key match nothing, wherever they are sent. This many places share them.
-NULL_KEY_SPREAD = 4096
-
+from acreage.sources.writers import stored
 
 def zero(keys: Sequence[str]) -> Column:
     """0 for every row, which the optimizer does not know: a literal would be taken out of the
     join keys."""
-    return F.pmod(F.hash(*[named(k) for k in keys]), F.lit(1))
+    return F.pmod(F.hash(*[named(k) for k in keys]), F.lit(1)).cast("bigint")
 
 
 def spread_null_keys(df: DataFrame, keys: Sequence[str], name: str = "_spread") -> DataFrame:
     """Add a join key that is 0 for whole keys and scatters the rows whose key has a NULL."""
-    scattered = F.pmod(row_hash(df), F.lit(NULL_KEY_SPREAD)).cast("int")
-    return df.withColumn(name, F.when(all_present(keys), zero(keys)).otherwise(scattered))
+    return df.withColumn(name, F.when(all_present(keys), zero(keys)).otherwise(row_hash(df).cast("bigint")))
 
 
 def lookup_join(df: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -52,10 +48,20 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str, by: Sequence[s
     )
 
 
-def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per whole key, and every row whose key has a NULL."""
-    whole = all_present(keys)
-    return df.where(whole).dropDuplicates(list(keys)).unionByName(df.where(~whole))
+def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row per whole key, and every row whose key has a NULL.
+
+    The row that comes first by ``order`` and then by its other columns stays, so the choice does
+    not depend on where rows happen to be. It is made before the shuffle, like any minimum.
+    """
+    whole, keys = all_present(keys), list(keys)
+    rest = [*order, *[c for c in df.columns if c not in keys and c not in order]]
+    if not rest:
+        return df.where(whole).dropDuplicates(keys).unionByName(df.where(~whole))
+    first = F.min(F.struct(*[named(c) for c in rest])).alias("_first")
+    chosen = df.where(whole).groupBy(*[named(k) for k in keys]).agg(first)
+    chosen = chosen.select(*[named(k) for k in keys], *[F.col(f"_first.`{c}`").alias(c) for c in rest])
+    return chosen.select(*[named(c) for c in df.columns]).unionByName(df.where(~whole))
 
 
 def insert_new(
@@ -69,8 +75,9 @@ def insert_new(
     keys = list(keys)
     if dedupe_batch:
         batch = one_per_key(batch, keys)
-    # Distinct keys first: a key the target holds a million times is sent once per task.
-    seen = target.select(*keys).distinct()
+    # Only keys of the batch matter: a small batch is sent to the target, whose rows then stay where
+    # they are. Distinct keys after that: one the target holds a million times is sent once per task.
+    seen = target.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi").distinct()
     return lookup_join(batch, seen, keys, "left_anti").select(*batch.columns)
 
 
@@ -129,11 +136,14 @@ def upsert(
 
     A target may hold a key many times, a source only once. The target is the split side of
     the join, so a key that fills much of it is no single task's work, and a small source is
-    broadcast by the planner without moving the target at all.
+    broadcast by the planner without moving the target at all. The source is stored once it has
+    been checked, which runs it: a repeated key fails here.
     """
     keys, columns = list(keys), target.columns
     update = list(update) if update is not None else [c for c in columns if c not in keys]
-    source = require_unique(source, keys, "source")
+    # Rows with a NULL key match nothing and are scattered before the check, which is made once.
+    source = require_unique(spread_null_keys(source, keys), keys, "source", [*keys, "_spread"]).drop("_spread")
+    source = stored(source)
     fresh = source.select(*keys, F.struct(*update).alias("_fresh"))
     joined = lookup_join(target, fresh, keys, "left")
     kept = joined.select(

@@ -47,10 +47,18 @@ def distinct_addresses(df: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def trailing_months(df: DataFrame, as_of: date, months: int = 12, column: str = "prop_last_sale_dt") -> DataFrame:
-    """Rows of the last ``months`` months, both ends included."""
+def trailing_months(
+    df: DataFrame, as_of: date, months: int = 12, column: str = "prop_last_sale_dt", year: str | None = None
+) -> DataFrame:
+    """Rows of the last ``months`` months, both ends included.
+
+    ``year`` names the column that holds the date's year, if the table is partitioned by it: then
+    folders of other years are not read.
+    """
     end = F.lit(as_of)
-    return df.where(F.col(column).between(F.add_months(end, -months), end))
+    start = F.add_months(end, -months)
+    kept = df.where(F.col(column).between(start, end))
+    return kept if year is None else kept.where(F.col(year).between(F.year(start), F.year(end)))
 
 
 def row_counts(df: DataFrame) -> DataFrame:

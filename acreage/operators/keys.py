@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acreage.functions.columns import named
-from acreage.session import fresh_path
+from acreage.session import fresh_path, remove_folder
 
 
 def high_water_mark(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -31,6 +32,24 @@ def latest_batch(df: DataFrame, column: str = "etl_nr") -> DataFrame:
 def dense_surrogate_key(
     df: DataFrame, name: str, base: int, order: Sequence[str] | None = None
 ) -> DataFrame:
+    """The rows of ``number``, for callers that keep its intermediate copy."""
+    return number(df, name, base, order).rows
+
+
+@dataclass
+class Numbered:
+    """Rows with their keys, the largest key given, and the copy the rows are read from."""
+
+    rows: DataFrame
+    top: int
+    path: str
+
+    def discard(self) -> None:
+        """Remove the copy, once the rows have been written where they belong."""
+        remove_folder(self.rows.sparkSession, self.path)
+
+
+def number(df: DataFrame, name: str, base: int, order: Sequence[str] | None = None) -> Numbered:
     """Number rows ``base+1 … base+n``, in ``order`` if given, else as they happen to be stored.
 
     Rows are written once; a row's place in its file plus the sizes of the files before it is
@@ -54,8 +73,5 @@ def dense_surrogate_key(
     # As many rows as files, a hundred thousand of which stay far below a broadcast's limits.
     if len(offsets) <= 100_000:
         start_of = F.broadcast(start_of)
-    return (
-        placed.join(start_of, "_file")
-        .withColumn(name, F.col("_start") + F.col("_row") + 1)
-        .drop("_file", "_row", "_start")
-    )
+    rows = placed.join(start_of, "_file").withColumn(name, F.col("_start") + F.col("_row") + 1)
+    return Numbered(rows.drop("_file", "_row", "_start"), base + sum(row["n"] for row in sizes), path)

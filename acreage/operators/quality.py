@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from acreage.functions.columns import all_present, any_of, named, row_as_text
 from acreage.operators.changes import lookup_join
-from acreage.operators.keys import dense_surrogate_key
+from acreage.operators.keys import dense_surrogate_key, number
+from acreage.sources.writers import path_exists, stored
 
 MODES = ("filter", "stat", "filter_and_stat")
 
@@ -111,8 +112,12 @@ def passing_rows(df: DataFrame, failures: DataFrame, pk: str) -> DataFrame:
 
 
 def quarantine(failures: DataFrame, table: str, as_of: date, base: int, pk: str) -> DataFrame:
-    """Failures as rows of the bad-record table, with keys following ``base``."""
+    """Failures as rows of the bad-record table, with keys following ``base`` in order of the rows."""
     numbered = dense_surrogate_key(failures, "brnz_bd_rec_sk", base, [pk, *FAILURE_COLUMNS])
+    return bad_record_rows(numbered, table, as_of, pk)
+
+
+def bad_record_rows(numbered: DataFrame, table: str, as_of: date, pk: str) -> DataFrame:
     return numbered.select(
         "brnz_bd_rec_sk",
         F.lit(table).alias("tbl_nm"),
@@ -135,19 +140,24 @@ def check_quality(
     mode: str = "filter",
     *,
     as_of: date | None = None,
-    base: int = 0,
     bad_records: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Check ``df`` and return what to go on with and the failures.
 
     ``filter`` returns passing rows; ``stat`` appends failures, without the key column, to the
-    parquet table ``bad_records`` and returns all rows; ``filter_and_stat`` does both.
+    parquet table ``bad_records`` and returns all rows; ``filter_and_stat`` does both. Their keys
+    follow the largest in the table. Failures are found and stored once, when this is called.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode: {mode}")
-    failures = find_failures(df, rules, pk)
+    if mode != "filter" and (bad_records is None or as_of is None):
+        raise ValueError(f"mode {mode} needs bad_records and as_of")
+    failures = stored(find_failures(df, rules, pk))
     if mode != "filter":
-        if bad_records is None or as_of is None:
-            raise ValueError(f"mode {mode} needs bad_records and as_of")
-        quarantine(failures, table, as_of, base, pk).drop(pk).write.mode("append").parquet(bad_records)
+        base = 0
+        if path_exists(df.sparkSession, bad_records):
+            base = df.sparkSession.read.parquet(bad_records).agg(F.max("brnz_bd_rec_sk")).first()[0] or 0
+        numbered = number(failures, "brnz_bd_rec_sk", base)
+        bad_record_rows(numbered.rows, table, as_of, pk).drop(pk).write.mode("append").parquet(bad_records)
+        numbered.discard()
     return (df if mode == "stat" else passing_rows(df, failures, pk)), failures

@@ -18,7 +18,7 @@ from acreage.plans.registry import plain, query
 from acreage.schemas import TABLES
 from acreage.session import fresh_path
 from acreage.sources import readers, writers
-from acreage.streaming.ingest import BATCH, incremental_ingest, insert_new_into
+from acreage.streaming.ingest import BATCH, STREAM, incremental_ingest, insert_new_into
 
 KEYS = ", ".join(views.SALE_KEY)
 
@@ -277,14 +277,14 @@ def take_in_sales(spark: SparkSession, folder: str) -> DataFrame:
     """All sales landed as files, then some of them again, taken in a few files at a time."""
     landing, sink, checkpoint = (fresh_path(spark, n) for n in ("landing", "sink", "progress"))
     rows = views.sales(spark, folder).select(*views.SALE_KEY, "etl_nr", "prop_zip_cd")
-    merge = insert_new_into(sink, rows.schema, views.SALE_KEY)
+    merge = insert_new_into(sink, rows.schema, views.SALE_KEY, checkpoint)
 
     def take_in() -> None:
-        incremental_ingest(spark, landing, rows.schema, merge, checkpoint, files_per_batch=6).awaitTermination()
+        incremental_ingest(spark, landing, rows.schema, merge, checkpoint, bytes_per_batch="1g").awaitTermination()
 
-    rows.repartition(8, "l_orderkey").write.parquet(landing)
+    rows.repartition("l_orderkey").write.parquet(landing)
     take_in()
-    rows.where(F.col("etl_nr") >= 5).coalesce(2).write.mode("append").parquet(landing)
+    rows.where(F.col("etl_nr") >= 5).write.mode("append").parquet(landing)
     take_in()
     take_in()
-    return spark.read.parquet(sink).drop(BATCH)
+    return spark.read.parquet(sink).drop(STREAM, BATCH)

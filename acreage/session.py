@@ -49,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
         or context.getCheckpointDir()
     )
     if named:
+        if named.startswith("file:") and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names a folder of one machine; name one that every executor can reach")
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
@@ -62,6 +64,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate folder this library wrote under the shared one."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def share_code(spark: SparkSession) -> None:
     """Send this package to the session's Python workers, once per session.
 

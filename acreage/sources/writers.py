@@ -40,6 +40,12 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def require_success_marks(spark: SparkSession) -> None:
+    """Snapshots are told from half-written ones by their success mark, so it must not be off."""
+    if spark.sparkContext._jsc.hadoopConfiguration().get("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true") != "true":
+        raise RuntimeError("mapreduce.fileoutputcommitter.marksuccessfuljobs must be true: snapshots need their _SUCCESS mark")
+
+
 def overwrite_snapshot(df: DataFrame, root: str) -> str:
     """Write a new snapshot beside the old ones and return its path.
 
@@ -57,6 +63,7 @@ def snapshots(spark: SparkSession, root: str) -> list[str]:
 
 
 def _versions(spark: SparkSession, root: str) -> list[tuple[str, bool]]:
+    require_success_marks(spark)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path(root)):
@@ -106,6 +113,11 @@ def create_tables(
     return created
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 class Lake:
     """Parquet tables of one root folder, appended to in batches."""
 
@@ -116,29 +128,56 @@ class Lake:
         return f"{self.root}/{table.replace('.', '/')}"
 
     def exists(self, table: str) -> bool:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        return path_exists(self.spark, self.path(table))
 
     def read(self, table: str, layout: T.StructType) -> DataFrame:
         """The table, or no rows if nothing has been written yet."""
         if not self.exists(table):
             return self.spark.createDataFrame([], layout)
-        return self.spark.read.schema(layout).parquet(self.path(table))
+        return self.spark.read.schema(layout).parquet(self.path(table)).select(*layout.names)
 
-    def append(self, table: str, df: DataFrame, layout: T.StructType) -> DataFrame:
+    def append(
+        self, table: str, df: DataFrame, layout: T.StructType, marks: Mapping[str, int] | None = None
+    ) -> DataFrame:
         """Append in the table's layout: columns by name, missing ones NULL.
 
         Rows go to a folder per batch, and per year where the table has one, so reading the
         latest batch or some years leaves the other folders alone. A load is one batch, so
-        only years have to be gathered before they are written.
+        only years have to be gathered before they are written. ``marks`` are numbers to remember
+        with the batch: they are part of its folder's name, so they are there if its rows are.
         """
-        rows, path = fit(df, layout), self.path(table)
+        rows, path, marks = fit(df, layout), self.path(table), marks or {}
+        rows = rows.withColumns({name: F.lit(value) for name, value in marks.items()})
+        by = [*(["etl_nr"] if "etl_nr" in layout.names else []), *marks]
         if "year" in layout.names:
-            write_partitioned(rows, path, ["etl_nr", "year"], ["investor_company_nm_txt"])
+            write_partitioned(rows, path, [*by, "year"], ["investor_company_nm_txt"])
         else:
-            rows.write.mode("append").partitionBy("etl_nr").parquet(path)
+            rows.write.mode("append").partitionBy(*by).parquet(path)
         return self.read(table, layout)
 
+    def marks(self, table: str) -> dict[str, int]:
+        """The numbers in the newest batch's folder name, its own among them; no file is opened."""
+        root = self.path(table)
+        versions = [(name, whole) for name, whole in _versions(self.spark, root) if whole]
+        newest = [name for name, _ in versions] or self._folders(root)
+        for name in sorted(newest, key=lambda n: int(n.rsplit("=", 1)[1]), reverse=True):
+            found, path, inner = {}, root, [name]
+            while inner and inner[0].rsplit("=", 1)[1].isdigit() and not inner[0].startswith("year="):
+                key, value = inner[0].rsplit("=", 1)
+                found[key], path = int(value), f"{path}/{inner[0]}"
+                inner = self._folders(path)
+            if len(found) > 1 or not versions:
+                return found
+        return {}
+
+    def _folders(self, path: str) -> list[str]:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return []
+        names = (s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
+        return sorted(n for n in names if "=" in n)
+
     def replace(self, table: str, df: DataFrame, layout: T.StructType) -> DataFrame:
         """Write the next snapshot of a table that is rewritten as a whole, and read it."""
         return self.spark.read.schema(layout).parquet(
@@ -152,17 +191,26 @@ class Lake:
             return self.spark.createDataFrame([], layout)
         return self.spark.read.schema(layout).parquet(written[-1])
 
-    def advance(self, table: str, df: DataFrame, layout: T.StructType, still_open: Column) -> DataFrame:
+    def advance(
+        self,
+        table: str,
+        df: DataFrame,
+        layout: T.StructType,
+        still_open: Column,
+        marks: Mapping[str, int] | None = None,
+    ) -> DataFrame:
         """Write what one load makes of a table whose settled rows never change again.
 
         ``df`` holds the rows that were open before, the new ones, and nothing else. Those with
         ``still_open`` replace the open rows, the others join the settled ones, which no load
         reads or writes a second time. The folder's success mark is the commit: a load that
-        failed half-way is not seen, and writes the same folder when it runs again.
+        failed half-way is not seen, and writes the same folder when it runs again. ``marks`` are
+        numbers to remember with the load, as in ``append``.
         """
         number = self._last(table) + 1
         rows = fit(df, layout).withColumn("open", F.coalesce(still_open, F.lit(False)))
-        rows.write.mode("overwrite").partitionBy("open").parquet(f"{self.path(table)}/v={number:06d}")
+        rows = rows.withColumns({name: F.lit(value) for name, value in (marks or {}).items()})
+        rows.write.mode("overwrite").partitionBy(*(marks or {}), "open").parquet(f"{self.path(table)}/v={number:06d}")
         return self.state(table, layout)
 
     def state(self, table: str, layout: T.StructType) -> DataFrame:
@@ -170,6 +218,10 @@ class Lake:
         last = self._last(table)
         return self._loads(table, layout, (F.col("v") == last) | ((F.col("v") < last) & ~F.col("open")))
 
+    def newest_load(self, table: str, layout: T.StructType) -> DataFrame:
+        """What the last load of such a table wrote."""
+        return self._loads(table, layout, F.col("v") == self._last(table))
+
     def open_rows(self, table: str, layout: T.StructType) -> DataFrame:
         return self._loads(table, layout, (F.col("v") == self._last(table)) & F.col("open"))
 

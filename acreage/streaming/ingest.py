@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,26 +9,37 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from acreage.operators.changes import insert_new, one_per_key
+from acreage.sources.writers import path_exists
 
-BATCH = "ingest_nr"
+STREAM, BATCH = "ingest_stream", "ingest_nr"
 
 
-def insert_new_into(sink: str, schema: T.StructType, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
+def insert_new_into(
+    sink: str, schema: T.StructType, keys: Sequence[str], stream: str, order: Sequence[str] = ()
+) -> Callable[[DataFrame, int], None]:
     """A batch function that appends the rows whose key no earlier batch has brought.
 
-    Each batch owns one folder and overwrites it, and looks only at the folders before its own,
-    so running a batch again after a failure gives the same table.
+    Each batch owns one folder and overwrites it, and looks only at the folders before its own.
+    Of rows with the same key the first by ``order`` and then by content is taken, so running a
+    batch again after a failure gives the same table.
+
+    ``stream`` says whose batches these are, such as the place of the checkpoint: its folders lie
+    under that name's hash. A stream whose checkpoint was lost numbers from 0 again under a new
+    name, and what an earlier one wrote is kept and looked at like any earlier batch.
     """
-    stored = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    stored = T.StructType([*schema.fields, T.StructField(STREAM, T.StringType()), T.StructField(BATCH, T.LongType())])
+    own = hashlib.sha256(stream.encode()).hexdigest()[:16]
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        if number > 0:
-            earlier = spark.read.schema(stored).parquet(sink).where(F.col(BATCH) < number)
-            rows = insert_new(batch, earlier, keys, dedupe_batch=True)
+        if path_exists(spark, sink):
+            # Other streams' rows were there first: a stream is one writer's at a time.
+            mine = (F.col(STREAM) == own) & (F.col(BATCH) >= number)
+            earlier = spark.read.schema(stored).parquet(sink).where(~mine)
+            rows = insert_new(one_per_key(batch, keys, order), earlier, keys)
         else:
-            rows = one_per_key(batch, keys)
-        rows.write.mode("overwrite").parquet(f"{sink}/{BATCH}={number}")
+            rows = one_per_key(batch, keys, order)
+        rows.write.mode("overwrite").parquet(f"{sink}/{STREAM}={own}/{BATCH}={number}")
 
     return write
 
@@ -41,6 +53,7 @@ def incremental_ingest(
     *,
     file_format: str = "parquet",
     files_per_batch: int | None = None,
+    bytes_per_batch: str | None = None,
     options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Hand every file that has landed since the last run to ``merge``, then stop.
@@ -50,6 +63,8 @@ def incremental_ingest(
     reader = spark.readStream.format(file_format).schema(schema).options(**(options or {}))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return (
         reader.load(folder)
         .writeStream.foreachBatch(merge)

@@ -88,12 +88,49 @@ def test_parcels_to_sales_detail(spark, lake):
     detail = jobs.parcel_sales(lake, TWO)
     assert detail.count() == pairs.count()
     merged = jobs.sales_history(lake, TWO)
-    latest = jobs.latest_batch(jobs.table(lake, jobs.BRONZE_SALES)).count()
-    assert merged.count() == pairs.count() + latest
+    # D27: every batch that landed is taken, not the newest alone.
+    landed = jobs.table(lake, jobs.BRONZE_SALES).count()
+    assert lake.marks(jobs.BRONZE_SALES)["etl_nr"] == 3
+    assert merged.count() == pairs.count() + landed
     assert sorted(r["slvr_int_prop_dtl_sk"] for r in merged.collect()) == list(range(1, merged.count() + 1))
     # Settled rows are not written again: the last load's folder holds the open ones only.
     folders = sorted(p.name for p in Path(lake.path(jobs.SALES_DETAIL)).iterdir() if p.is_dir())
     assert folders == ["v=000000", "v=000001"]
-    assert spark.read.parquet(f"{lake.path(jobs.SALES_DETAIL)}/v=000001").count() == latest
-    # The same sales again: every row is kept, and ties are all the latest.
-    assert jobs.sales_history(lake, TWO).where("usraddr is not null and latest_record_ind").count() == 2 * latest
+    assert spark.read.parquet(f"{lake.path(jobs.SALES_DETAIL)}/v=000001").count() == landed
+    # Loads that find no new batch add nothing.
+    before = rows(merged)
+    for load in (jobs.match, jobs.comparables, jobs.parcel_sales, jobs.sales_history, jobs.silver_sales):
+        load(lake, TWO)
+    assert rows(jobs.sales_detail(lake)) == before
+    assert jobs.table(lake, jobs.PROPERTIES).count() == matched.count()
+    assert jobs.table(lake, jobs.COMPS).count() == pairs.count()
+    # The same sales as a new batch: every row is kept, and ties are all the latest.
+    jobs.bronze_sales(lake, feed(spark, 200, 230), TWO)
+    flagged = jobs.sales_history(lake, TWO).where("usraddr is not null and latest_record_ind")
+    assert flagged.count() == merged.where("usraddr is not null and latest_record_ind").count() + 30
+
+
+def test_parcels_that_land_between_loads_are_not_lost(spark, tmp_path):
+    # D27
+    lake = Lake(spark, str(tmp_path))
+    jobs.bronze_sales(lake, feed(spark, 0, 60), ONE)
+    jobs.silver_sales(lake, ONE)
+    jobs.investors(lake, ONE)
+
+    def parcels(*numbers):
+        response = [
+            (i, 3, 2.0, 1000, 1990, f"{i} A St", "C", "TX", "N", "1", 30.0, -97.0, [("SALE", "SOLD", "2001-05-01", "O", 5.0)])
+            for i in numbers
+        ]
+        return jobs.parcel_rows(spark.createDataFrame(response, PARCEL_RESPONSE))
+
+    jobs.bronze_parcels(lake, parcels(1, 2), ONE)
+    jobs.bronze_parcels(lake, parcels(3), ONE)
+    matched = jobs.match(lake, ONE)
+    assert matched.select("brnz_prcl_prop_sales_dtl_sk").distinct().count() == 3
+    pairs = jobs.comparables(lake, ONE)
+    assert pairs.count() == matched.count() * 3
+    # A batch that lands after the comparables does not part them from their parcels.
+    jobs.bronze_parcels(lake, parcels(4), TWO)
+    assert jobs.parcel_sales(lake, TWO).count() == pairs.count()
+    assert jobs.match(lake, TWO).where("etl_nr = 2").select("brnz_prcl_prop_sales_dtl_sk").distinct().count() == 1

@@ -149,7 +149,7 @@ def test_stream_equals_batch_and_rests_without_files(spark, tmp_path):
     landing, sink, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     rows_in = spark.range(200).select((F.col("id") % 120).alias("k"), F.lit("v").alias("v"))
     rows_in.repartition(5).write.parquet(landing)
-    merge = insert_new_into(sink, rows_in.schema, ["k"])
+    merge = insert_new_into(sink, rows_in.schema, ["k"], progress)
 
     def take_in():
         query = incremental_ingest(spark, landing, rows_in.schema, merge, progress, files_per_batch=2)
@@ -171,6 +171,42 @@ def test_stream_equals_batch_and_rests_without_files(spark, tmp_path):
     assert spark.read.parquet(sink).where("k >= 500").count() == 20
 
 
+def test_a_batch_run_again_keeps_the_same_rows_of_a_key(spark, tmp_path):
+    sink = str(tmp_path / "out")
+    batch = spark.createDataFrame([(1, "b", 2), (1, "a", 3), (2, "x", 1), (None, "n", 1)], "k int, v string, o int")
+    merge = insert_new_into(sink, batch.schema, ["k"], "s", order=["o"])
+    merge(batch.repartition(3, "v"), 0)
+    once = rows(spark.read.parquet(sink), "k", "v", "o")
+    assert once == {(1, "b", 2): 1, (2, "x", 1): 1, (None, "n", 1): 1}
+    merge(batch.orderBy("v").coalesce(1), 0)
+    assert rows(spark.read.parquet(sink), "k", "v", "o") == once
+
+
+def test_a_lost_checkpoint_does_not_overwrite_what_is_there(spark, tmp_path):
+    sink = str(tmp_path / "out")
+    first, second = (spark.createDataFrame([(k, k) for k in ks], "k int, v int") for ks in (range(5), range(3, 8)))
+    insert_new_into(sink, first.schema, ["k"], "old checkpoint")(first, 0)
+    insert_new_into(sink, first.schema, ["k"], "new checkpoint")(second, 0)
+    assert rows(spark.read.parquet(sink), "k", "v") == {(k, k): 1 for k in range(8)}
+
+
+def test_marks_are_read_from_folder_names(spark, tmp_path):
+    lake, layout = Lake(spark, str(tmp_path)), TABLES["bronze.brnz_goog_prop_add_dtl"]
+    assert lake.marks("t") == lake.marks("v") == {}
+    for n in (9, 10):
+        lake.append("t", spark.createDataFrame([(n,)], "etl_nr bigint"), layout, {"taken_nr": n + 1, "top_nr": n * 7})
+        lake.advance("v", spark.createDataFrame([(n,)], "etl_nr bigint"), layout, F.lit(True), {"load_nr": n})
+    assert lake.marks("t") == {"etl_nr": 10, "taken_nr": 11, "top_nr": 70}
+    assert lake.marks("v") == {"v": 1, "load_nr": 10}
+    # A load that leaves no rows has no folder of its own; the one before still says what it took.
+    lake.advance("v", spark.createDataFrame([], "etl_nr bigint"), layout, F.lit(True), {"load_nr": 11})
+    assert lake.marks("v") == {"v": 1, "load_nr": 10}
+    for broken in ("t", "v"):
+        for part in (tmp_path / broken).rglob("*.parquet"):
+            part.write_text("not a table")
+    assert lake.marks("t")["top_nr"] == 70
+
+
 def test_a_load_that_failed_half_way_is_not_seen(spark, tmp_path):
     lake, layout = Lake(spark, str(tmp_path)), TABLES["bronze.brnz_goog_prop_add_dtl"]
 
