@@ -6,6 +6,7 @@ from acreage.plans.queries import (  # noqa: F401
     checks,
     conforming,
     ingest,
+    loads,
     matches,
     merges,
     parcels,
