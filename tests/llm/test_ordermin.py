@@ -1,0 +1,135 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from acreage.llm import ordermin as om
+from acreage.llm.toxicity import word_hashes
+
+RANDOM = random.Random(4)
+WORDS = [a + b for a in "bcdfgklmnprst" for b in ("a", "e", "i", "o", "u", "ai", "ou")]
+
+
+def prose(n, rnd=RANDOM):
+    return [rnd.choice(WORDS) + rnd.choice(WORDS) for _ in range(n)]
+
+
+def edited(words, edits, rnd=RANDOM):
+    words = list(words)
+    for _ in range(edits):
+        at = rnd.randrange(len(words))
+        words[at : at + rnd.choice([0, 1, 1])] = [rnd.choice(WORDS) * 2]
+    return words
+
+
+def shingles(text):
+    """Labelled shingles as plain tuples."""
+    words = re.findall(r"[a-z0-9\x80-\U0010ffff]+", text.lower())
+    size = min(om.SHINGLE, len(words))
+    seen, out = {}, []
+    for i in range(len(words) - size + 1 if words else 0):
+        key = tuple(words[i : i + size])
+        seen[key] = seen.get(key, 0) + 1
+        out.append((key, seen[key]))
+    return out
+
+
+def lcs(a, b):
+    before = [0] * (len(b) + 1)
+    for x in a:
+        now = [0]
+        for j, y in enumerate(b):
+            now.append(before[j] + 1 if x == y else max(now[-1], before[j + 1]))
+        before = now
+    return before[-1]
+
+
+def plain(a, b):
+    a, b = shingles(a), shingles(b)
+    common = lcs(a, b)
+    return common / (len(a) + len(b) - common)
+
+
+def brute(texts):
+    """Smallest index of each text's class by all pairs."""
+    of = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if shingles(texts[i] or "") and shingles(texts[j] or "") and of[i] != of[j] and plain(texts[i], texts[j]) >= om.SIMILARITY:
+                a, b = sorted((of[i], of[j]))
+                of = [a if x == b else x for x in of]
+    return of
+
+
+def corpus():
+    texts = []
+    for n in (40, 60, 120):
+        base = prose(n)
+        texts += [" ".join(base), " ".join(base).upper(), " ".join(base) + " !?"]
+        texts += [" ".join(edited(base, e)) for e in (1, 1, 2, 2, 3, 4, 8)]
+        texts.append(" ".join(base[n // 2 :] + base[: n // 2]))
+    shared = prose(30)
+    texts += [" ".join(prose(25) + shared + prose(25)) for _ in range(12)]
+    hub = prose(100)
+    texts += [" ".join(edited(hub, 3)) for _ in range(25)]
+    texts += ["word " * 30, "word " * 31, "word " * 60, "a b c", "a b c", "A, b; c.", "a b d", None, "", " \n", "!!!"]
+    return texts
+
+
+TEXTS = corpus()
+
+
+@pytest.mark.parametrize("blocks", [512, 4])
+def test_classes_are_those_of_all_pairs(make_docs, monkeypatch, blocks):
+    monkeypatch.setattr(om, "BLOCK", blocks)
+    rows, stay = om.near_duplicates(make_docs(TEXTS))
+    got = {r.doc_id: r.class_id for r in rows.collect()}
+    assert got == dict(enumerate(brute(TEXTS)))
+    assert sorted(r.doc_id for r in stay.collect()) == sorted(i for i, c in got.items() if i == c)
+
+
+def test_similarity_is_that_of_the_definition():
+    for _ in range(150):
+        base = prose(RANDOM.randrange(5, 80))
+        a, b = " ".join(base), " ".join(edited(base, RANDOM.randrange(6)))
+        left, right = (om.labelled(word_hashes([t])[0]) for t in (a, b))
+        want = plain(a, b)
+        assert om.similarity(left, right, 0.0) == pytest.approx(want)
+        assert (om.similarity(left, right) >= om.SIMILARITY) == (want >= om.SIMILARITY)
+
+
+def test_counts_in_common():
+    texts = [om.labelled(word_hashes([t or ""])[0]) for t in TEXTS]
+    here, there = np.arange(0, 20), np.arange(10, len(texts))
+    want = [[len(set(texts[i].tolist()) & set(texts[j].tolist())) for j in there] for i in here]
+    # A text's own shingles need not be counted: it is not compared with itself.
+    got = om.in_common(texts, here, there)
+    assert all(got[a, b] == want[a][b] for a in range(20) for b in range(len(there)) if here[a] != there[b])
+
+
+def test_long_texts_are_sketched_in_parts(monkeypatch):
+    text = om.labelled(word_hashes([" ".join(prose(500))])[0])
+    whole = om.sketches(text)
+    monkeypatch.setattr(om, "TABLE", 1000)
+    assert om.sketches(text).tolist() == whole.tolist() and len(whole) == om.SKETCHES
+
+
+def test_one_of_each_group_stays_with_all_its_columns(spark, make_docs):
+    docs = spark.createDataFrame(
+        [(i, t, "en", 7, 8) for i, t in enumerate(TEXTS)] + [(None, TEXTS[0], "en", 7, 8), (None, "alone here", "en", 7, 8)],
+        "doc_id long, text string, lang string, node long, x1 long",
+    )
+    kept = om.keep_one(docs)
+    assert kept.columns == docs.columns
+    want = [i for i, c in enumerate(brute(TEXTS)) if i == c] + [None]
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_repeated_rows_and_empty_tables(make_docs):
+    same = [(1, "one two three four five six"), (1, "one two three four five six"), (2, ""), (2, ""), (None, None), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in om.keep_one(make_docs(same)).collect()), key=str) == sorted(
+        [same[0], *same[2:]], key=str
+    )
+    rows, stay = om.near_duplicates(make_docs([]))
+    assert rows.count() == stay.count() == om.keep_one(make_docs([])).count() == 0

@@ -1,0 +1,75 @@
+"""The registered queries of this package, and the pipeline stage by stage."""
+
+import re
+
+import duckdb
+import pytest
+from oracle import compare
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from acreage.llm import linededup, pii
+from acreage.llm.queries import QUERIES, SQL
+from acreage.plans.registry import QUERIES as OTHERS
+
+NAMES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+@pytest.fixture(scope="module")
+def con(folder):
+    con = duckdb.connect()
+    for name in NAMES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    return con
+
+
+def test_every_operator_has_one_query():
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert set(contract.queries()) == {*OTHERS, *QUERIES, "pipeline"}
+    assert set(SQL) <= set(QUERIES) and "pipeline" not in contract.oracle_sql()
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, con, folder, name):
+    assert compare(QUERIES[name](spark, folder), SQL[name], con) > 0
+
+
+def test_stages(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    extra = spark.createDataFrame(
+        [(90001, None, "en", "s", 0), (90002, "", "en", "s", 0), (90003, "12 34", None, "s", 5), (None, "le chat et la souris dans la maison", "fr", None, None)],
+        docs.schema,
+    )
+    now = docs.unionByName(extra)
+    columns = now.columns
+    results = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = now
+        path = str(tmp_path / name.replace(" ", "-"))
+        stage(spark, before, folder).write.parquet(path)
+        now = spark.read.parquet(path)
+        results[name] = (before, now)
+        if name != "packing":
+            assert now.columns == columns
+    ids = lambda df: sorted((r.doc_id for r in df.select("doc_id").collect()), key=str)
+    texts = lambda df: {r.doc_id: r.text for r in df.collect()}
+    before, after = results["language ID"]
+    assert set(ids(before)) - set(ids(after)) == {90001, 90002, 90003} and None in ids(after)
+    before, after = results["line dedup"]
+    assert texts(after) == texts(linededup.drop_common_lines(before)) and ids(before) == ids(after)
+    before, after = results["near dedup"]
+    assert set(texts(after).items()) <= set(texts(before).items()) and after.count() < before.count()
+    before, after = results["PII"]
+    assert ids(before) == ids(after)
+    assert pii.find(after).where("size(filter(pii, s -> s.order < 4)) > 0").isEmpty()
+    changed = {i for i, t in texts(after).items() if t != texts(before)[i]}
+    assert changed == {r.doc_id for r in pii.find(before).where("size(pii) > 0").collect()}
+    before, after = results["packing"]
+    assert set(ids(before)) == set(ids(after))
+    fills = after.groupBy("sequence_id").agg({"length": "sum", "offset": "max"}).collect()
+    assert all(r["sum(length)"] <= 2048 for r in fills)
+
+
+def test_the_pipeline_takes_an_empty_table(spark, tmp_path, folder):
+    spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
