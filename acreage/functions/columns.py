@@ -37,6 +37,11 @@ def address_key(*, county: bool = False) -> Column:
     return F.concat(*pieces)
 
 
+def iso_time(moment: Column) -> Column:
+    """A timestamp as ISO 8601 text with microseconds."""
+    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
 def months_back(day: Column, months: int) -> Column:
     """The same day ``months`` earlier, or the month's last day where there is no such day."""
     return F.add_months(day, -months)

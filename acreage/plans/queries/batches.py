@@ -32,28 +32,29 @@ def latest_batch_scan(spark: SparkSession, folder: str) -> DataFrame:
     return keys.latest_batch(views.sales(spark, folder)).select(*views.SALE_KEY, "etl_nr")
 
 
-def yearly_buyers(spark: SparkSession, folder: str, end: str) -> DataFrame:
-    """What each investor bought in the year up to a day."""
-    day = F.col("prop_last_sale_dt")
-    year = views.sales(spark, folder).where(
-        day.between(F.add_months(F.lit(end).cast("date"), -12), F.lit(end).cast("date"))
-    )
-    return year.groupBy("investor_company_nm_txt").agg(
-        F.count("*").alias("n_sales"),
-        F.max("prop_last_sale_amt").alias("top_amt"),
-        F.nullif(F.min("prop_attr_br_cnt"), F.lit(1)).alias("min_beds"),
-    )
-
-
-YEARLY_SQL = """
+def two_states(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """What each investor bought before a day, and since: together all sales."""
+    sales, early = views.sales(spark, folder), F.col("prop_last_sale_dt") < STATE_DAY
+    return [
+        part.groupBy("investor_company_nm_txt").agg(
+            F.count("*").alias("n_sales"),
+            F.max("prop_last_sale_amt").alias("top_amt"),
+            F.nullif(F.min("prop_attr_br_cnt"), F.lit(1)).alias("min_beds"),
+        )
+        for part in (sales.where(early), sales.where(~early))
+    ]
+
+
+STATE_DAY = "1998-06-01"
+STATE_SQL = """
     SELECT investor_company_nm_txt, COUNT(*) AS n_sales, MAX(prop_last_sale_amt) AS top_amt,
            NULLIF(MIN(prop_attr_br_cnt), 1) AS min_beds
-    FROM sales WHERE prop_last_sale_dt BETWEEN DATE '{start}' AND DATE '{end}'
+    FROM sales WHERE prop_last_sale_dt {when} DATE '{day}'
     GROUP BY investor_company_nm_txt
 """
 STATES_SQL = f"""
-    before AS ({YEARLY_SQL.format(start="1999-08-01", end="2000-08-01")}),
-    later AS ({YEARLY_SQL.format(start="2000-08-01", end="2001-08-01")}),
+    before AS ({STATE_SQL.format(when="<", day=STATE_DAY)}),
+    later AS ({STATE_SQL.format(when=">=", day=STATE_DAY)}),
     paired AS (SELECT b.investor_company_nm_txt AS bk, l.investor_company_nm_txt AS lk, b.n_sales AS bn,
                       l.n_sales AS ln, b.top_amt AS bt, l.top_amt AS lt, b.min_beds AS bm, l.min_beds AS lm
                FROM before b FULL OUTER JOIN later l ON b.investor_company_nm_txt = l.investor_company_nm_txt),
@@ -75,7 +76,7 @@ STATES_SQL = f"""
     )
 )
 def change_feed_diff(spark: SparkSession, folder: str) -> DataFrame:
-    before, later = (yearly_buyers(spark, folder, end) for end in ("2000-08-01", "2001-08-01"))
+    before, later = two_states(spark, folder)
     feed = change_feed(before, later, ["investor_company_nm_txt"])
     return feed.withColumnRenamed("_change_type", "change_type")
 
@@ -90,7 +91,7 @@ def change_feed_diff(spark: SparkSession, folder: str) -> DataFrame:
     )
 )
 def change_type_filter(spark: SparkSession, folder: str) -> DataFrame:
-    before, later = (yearly_buyers(spark, folder, end) for end in ("2000-08-01", "2001-08-01"))
+    before, later = two_states(spark, folder)
     feed = change_feed(before, later, ["investor_company_nm_txt"])
     shown = ["investor_company_nm_txt", "n_sales"]
     return (

@@ -7,7 +7,9 @@ from acreage.operators import quality
 from acreage.operators.integrity import ROW_COUNT, SCHEMA, check_integrity
 from acreage.plans import views
 from acreage.plans.registry import plain, query
+from acreage.plans.queries.ingest import landed_xml
 from acreage.session import fresh_path
+from acreage.sources.writers import stored
 
 # Customers with some segments missing, and line items whose number is not unique.
 CUSTOMERS_SQL = "(SELECT * REPLACE (NULLIF(c_mktsegment, 'MACHINERY') AS c_mktsegment) FROM customer)"
@@ -44,15 +46,27 @@ DUPLICATE_SQL = failure_sql(
     f"(SELECT * FROM {CUSTOMERS_SQL} SEMI JOIN {REPEATED_SQL} USING (c_nationkey, c_mktsegment))",
 )
 ALL_SQL = f"{NULL_SQL} UNION ALL {OUT_OF_RANGE_SQL} UNION ALL {DISALLOWED_SQL} UNION ALL {DUPLICATE_SQL}"
-# Without the unique rule, which nearly every customer of the test tables breaks.
-ROW_RULES_SQL = f"{NULL_SQL} UNION ALL {OUT_OF_RANGE_SQL} UNION ALL {DISALLOWED_SQL}"
-PASSING_SQL = f"SELECT c_custkey, c_name FROM {CUSTOMERS_SQL} WHERE c_custkey NOT IN (SELECT c_custkey FROM ({ROW_RULES_SQL}))"
+# With a unique rule that some customers break, as nearly every one breaks the other.
+FEW_FAIL = [*RULES[:3], {"rule_type": "unique", "columns": ["c_nationkey", "c_balance_nr"]}]
+FEW_DUPLICATES_SQL = failure_sql(
+    "unique",
+    "c_nationkey,c_balance_nr",
+    "CAST(c_nationkey AS VARCHAR) || ',' || CAST(FLOOR(c_acctbal / 10) AS VARCHAR)",
+    "Duplicate on ['c_nationkey', 'c_balance_nr']",
+    """(c_nationkey, FLOOR(c_acctbal / 10)) IN
+       (SELECT (c_nationkey, FLOOR(c_acctbal / 10)) FROM customer GROUP BY ALL HAVING COUNT(*) > 1)""",
+)
+FEW_FAIL_SQL = f"{NULL_SQL} UNION ALL {OUT_OF_RANGE_SQL} UNION ALL {DISALLOWED_SQL} UNION ALL {FEW_DUPLICATES_SQL}"
+PASSING_SQL = f"SELECT c_custkey, c_name FROM {CUSTOMERS_SQL} WHERE c_custkey NOT IN (SELECT c_custkey FROM ({FEW_FAIL_SQL}))"
+STORE_SQL = f"""SELECT rule_type AS outcome, 2 * COUNT(*) AS n_rows FROM ({FEW_FAIL_SQL}) GROUP BY rule_type
+    UNION ALL SELECT 'distinct keys', 2 * COUNT(*) FROM ({FEW_FAIL_SQL})
+    UNION ALL SELECT 'last key', 2 * COUNT(*) FROM ({FEW_FAIL_SQL})"""
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     return views.base(spark, folder, "customer").withColumn(
         "c_mktsegment", F.nullif("c_mktsegment", F.lit("MACHINERY"))
-    )
+    ).withColumn("c_balance_nr", F.floor(F.col("c_acctbal") / 10))
 
 
 def shown(failures: DataFrame) -> DataFrame:
@@ -90,7 +104,7 @@ def dq_allowed_values(spark: SparkSession, folder: str) -> DataFrame:
          ON l.l_orderkey = d.l_orderkey AND l.l_linenumber = d.l_linenumber"""
 )
 def dq_unique(spark: SparkSession, folder: str) -> DataFrame:
-    rows = views.base(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    rows = views.base(spark, folder, "lineitem")
     rule = {"rule_type": "unique", "columns": ["l_orderkey", "l_linenumber"]}
     failures = quality.find_failures(rows, [rule], "l_partkey")
     record = {c: F.get_json_object("failed_record", f"$.{c}") for c in ("l_orderkey", "l_linenumber")}
@@ -123,63 +137,74 @@ def dq_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(PASSING_SQL)
 def dq_filter_good(spark: SparkSession, folder: str) -> DataFrame:
-    kept, _ = quality.check_quality(customers(spark, folder), RULES[:3], "bronze.customers", "c_custkey")
+    kept, _ = quality.check_quality(customers(spark, folder), FEW_FAIL, "bronze.customers", "c_custkey")
     return kept.select("c_custkey", "c_name")
 
 
 def with_store(spark: SparkSession, folder: str, mode: str) -> DataFrame:
-    """Counts of what goes on and, per rule, of what the bad-record table holds."""
+    """Two runs on one bad-record table: what goes on, what it holds per rule, and its keys."""
     store = fresh_path(spark, "bad-records")
-    kept, _ = quality.check_quality(
-        customers(spark, folder), RULES[:3], "bronze.customers", "c_custkey", mode,
-        as_of=views.AS_OF, bad_records=store,
-    )
-    stored = spark.read.parquet(store).groupBy("rule_type").agg(F.count("*").alias("n_rows"))
-    return stored.withColumnRenamed("rule_type", "outcome").unionByName(
-        kept.agg(F.count("*").alias("n_rows")).withColumn("outcome", F.lit("kept"))
-    )
+    for _ in range(2):
+        kept, _ = quality.check_quality(
+            customers(spark, folder), FEW_FAIL, "bronze.customers", "c_custkey", mode, as_of=views.AS_OF, bad_records=store
+        )
+    bad, key = spark.read.parquet(store), "brnz_bd_rec_sk"
+    rows = bad.groupBy(F.col("rule_type").alias("outcome")).agg(F.count("*").alias("n_rows"))
+    for outcome, df, value in (
+        ("kept", kept, F.count("*")), ("distinct keys", bad, F.count_distinct(key)), ("last key", bad, F.coalesce(F.max(key), F.lit(0))),
+    ):
+        rows = rows.unionByName(df.agg(value.alias("n_rows")).withColumn("outcome", F.lit(outcome)))
+    return rows
 
 
 @query(
-    f"""SELECT rule_type AS outcome, COUNT(*) AS n_rows FROM ({ROW_RULES_SQL}) GROUP BY rule_type
-        UNION ALL SELECT 'kept', COUNT(*) FROM customer"""
+    f"""{STORE_SQL} UNION ALL SELECT 'kept', COUNT(*) FROM customer"""
 )
 def dq_stat(spark: SparkSession, folder: str) -> DataFrame:
     return with_store(spark, folder, "stat")
 
 
 @query(
-    f"""SELECT rule_type AS outcome, COUNT(*) AS n_rows FROM ({ROW_RULES_SQL}) GROUP BY rule_type
-        UNION ALL SELECT 'kept', COUNT(*) FROM ({PASSING_SQL})"""
+    f"""{STORE_SQL} UNION ALL SELECT 'kept', COUNT(*) FROM ({PASSING_SQL})"""
 )
 def dq_filter_and_stat(spark: SparkSession, folder: str) -> DataFrame:
     return with_store(spark, folder, "filter_and_stat")
 
 
 def landed_orders(spark: SparkSession, folder: str) -> tuple[str, str, DataFrame]:
-    """All orders as a CSV folder and as a table, and the frame both were made from."""
-    orders = views.base(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    landing, path = fresh_path(spark, "landing"), fresh_path(spark, "table")
+    """All orders as a CSV folder and as a table of the session, and the frame both were made from."""
+    orders = views.base(spark, folder, "orders")
+    landing = fresh_path(spark, "landing")
     orders.write.option("header", True).csv(landing)
-    name = f"acreage_orders_{path[-12:]}"
-    orders.write.option("path", path).saveAsTable(name)
-    return landing, name, orders
+    stored(orders).createOrReplaceTempView("acreage_orders")
+    return landing, "acreage_orders", orders
 
 
 @query(
     """SELECT 'match_row_count_with_xml_csv_table' AS rule, TRUE AS passed,
-              'csv_rows=' || COUNT(*) || ', table_rows=' || COUNT(*) AS detail FROM orders"""
+              'csv_rows=' || COUNT(*) || ', table_rows=' || COUNT(*) || ', xml_rows=' || COUNT(*) AS detail FROM orders
+       UNION ALL
+       SELECT 'match_row_count_with_xml_csv_table', COUNT(*) = COUNT(*) FILTER (o_orderstatus <> 'F'),
+              'csv_rows=' || COUNT(*) || ', table_rows=' || COUNT(*) FILTER (o_orderstatus <> 'F') FROM orders"""
 )
 def integrity_row_count(spark: SparkSession, folder: str) -> DataFrame:
-    landing, name, _ = landed_orders(spark, folder)
-    return check_integrity(spark, landing, name, [ROW_COUNT])
+    """A table that agrees with a CSV and an XML landing, and one that lacks some of the rows."""
+    landing, name, orders = landed_orders(spark, folder)
+    orders.where("o_orderstatus <> 'F'").createOrReplaceTempView("acreage_open_orders")
+    documents = {"xml_path": landed_xml(spark, folder), "row_tag": "Investment"}
+    whole = check_integrity(spark, landing, name, [ROW_COUNT], **documents)
+    return whole.unionByName(check_integrity(spark, landing, "acreage_open_orders", [ROW_COUNT]))
 
 
 @query(
     """SELECT 'match_schema_between_existing_table_and_file' AS rule, TRUE AS passed,
-              'same columns' AS detail, COUNT(*) AS n_rows FROM orders"""
+              'same columns' AS detail, COUNT(*) AS n_rows FROM orders
+       UNION ALL
+       SELECT 'match_schema_between_existing_table_and_file', FALSE, 'columns differ', COUNT(*) FROM orders"""
 )
 def integrity_schema(spark: SparkSession, folder: str) -> DataFrame:
     landing, name, orders = landed_orders(spark, folder)
     outcome = check_integrity(spark, landing, name, [SCHEMA], file_schema=orders.schema)
+    other = orders.withColumnRenamed("o_orderkey", "o_key").schema
+    outcome = outcome.unionByName(check_integrity(spark, landing, name, [SCHEMA], file_schema=other))
     return outcome.withColumn("n_rows", spark.table(name).agg(F.count("*")).scalar())

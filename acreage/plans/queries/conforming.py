@@ -9,6 +9,7 @@ from acreage.functions.columns import (
     equity,
     geo_quantize,
     gross_yield,
+    iso_time,
     known_activity,
     months_back,
     whole_baths,
@@ -27,6 +28,7 @@ from acreage.plans.jobs import silver_rows
 from acreage.plans.queries.feeds import CONFORMED_SQL, SALE_ID_SQL, sale_id, sales_feed
 from acreage.plans.registry import plain, query
 from acreage.schemas import REQUIRED_SALE_COLUMNS, SALES_COLUMNS, SALES_MAPPING
+from acreage.sources.writers import stored
 
 KEYS = ", ".join(views.SALE_KEY)
 ADDRESS_SQL = "prop_address_line_txt || '/' || prop_city_nm || '/' || prop_state_nm || '/' || prop_zip_cd"
@@ -76,7 +78,8 @@ def address_keys(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """SELECT event_id, CAST(CEIL(value / 100) AS INT) AS baths,
               CAST(CAST(CAST(value / 7 AS VARCHAR) AS DECIMAL(9,6)) AS VARCHAR) AS latitude,
-              CAST(CAST(CAST(-value / 7 AS VARCHAR) AS DECIMAL(9,6)) AS VARCHAR) AS longitude
+              CAST(CAST(CAST(-value / 7 AS VARCHAR) AS DECIMAL(9,6)) AS VARCHAR) AS longitude,
+              UPPER(event_type) AS event_type, STRFTIME(ts::TIMESTAMP, '%Y-%m-%dT%H:%M:%S.%f') AS taken_at
        FROM events""", name="geo_quantize")
 def geo_quantized(spark: SparkSession, folder: str) -> DataFrame:
     value = F.col("value")
@@ -86,6 +89,8 @@ def geo_quantized(spark: SparkSession, folder: str) -> DataFrame:
             whole_baths(value / 100).alias("baths"),
             geo_quantize(value / 7).alias("latitude"),
             geo_quantize(-value / 7).alias("longitude"),
+            F.upper("event_type").alias("event_type"),
+            iso_time(F.col("ts")).alias("taken_at"),
         )
     )
 
@@ -158,7 +163,7 @@ INSERT_NEW_SQL = f"""
 
 @query(views.sql_with("sales", then=f", {INSERT_NEW_SQL} SELECT {KEYS}, address_key FROM fresh"))
 def insert_new_only(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = gapped_sales(spark, folder).withColumn("address_key", address_key())
+    keyed = stored(gapped_sales(spark, folder).withColumn("address_key", address_key()))
     day = F.col("prop_last_sale_dt")
     batch, target = keyed.where(day >= "2001-01-01"), keyed.where(day < "2001-04-01")
     new = insert_new(batch, target, ["investor_company_nm_txt", "address_key"])
@@ -182,7 +187,7 @@ def insert_new_only(spark: SparkSession, folder: str) -> DataFrame:
     )
 )
 def silver_sales_e2e(spark: SparkSession, folder: str) -> DataFrame:
-    sales = gapped_sales(spark, folder).withColumn("year", F.year("prop_last_sale_dt"))
+    sales = stored(gapped_sales(spark, folder).withColumn("year", F.year("prop_last_sale_dt")))
     day = F.col("prop_last_sale_dt")
     new, bad = silver_rows(sales.where(day >= "2001-01-01"), sales.where(day < "2001-04-01"))
     shown = [
@@ -207,11 +212,11 @@ def address_list(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """SELECT COUNT(*) AS n_rows,
-              (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS n_distinct_rows
+              (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM lineitem)) AS n_distinct_rows
        FROM lineitem"""
 )
 def row_and_distinct_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return row_counts(views.base(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"))
+    return row_counts(views.base(spark, folder, "lineitem"))
 
 
 @query(

@@ -15,7 +15,7 @@ from acreage.plans.queries.feeds import (
     sales_feed,
 )
 from acreage.plans.registry import plain, query
-from acreage.schemas import TABLES
+from acreage.schemas import TABLES, XML_DOCUMENT
 from acreage.session import fresh_path
 from acreage.sources import readers, writers
 from acreage.streaming.ingest import BATCH, STREAM, incremental_ingest, insert_new_into
@@ -59,12 +59,12 @@ def csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """SELECT COUNT(*) AS n_rows,
-              (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem)) AS n_distinct_rows
+              (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM lineitem)) AS n_distinct_rows
        FROM lineitem"""
 )
 def csv_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     landing = fresh_path(spark, "landing")
-    rows = views.spread(views.base(spark, folder, "lineitem")).select("l_orderkey", "l_linenumber", "l_returnflag")
+    rows = views.spread(views.base(spark, folder, "lineitem"))
     rows.write.option("header", True).option("delimiter", "|").csv(landing)
     return row_counts(readers.read_csv_inferred(spark, landing, delimiter="|"))
 
@@ -83,7 +83,7 @@ def landed_xml(spark: SparkSession, folder: str) -> str:
        FROM orders"""
 )
 def xml_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    documents = readers.read_xml(spark, landed_xml(spark, folder), "Investment")
+    documents = readers.read_xml(spark, landed_xml(spark, folder), "Investment", XML_DOCUMENT)
     return documents.select(
         F.col("InvestmentID").cast("bigint").alias("investment_id"),
         F.col("Status").alias("status"),
@@ -104,7 +104,7 @@ def xml_ingest(spark: SparkSession, folder: str) -> DataFrame:
               return_amount, return_year FROM first WHERE o_orderstatus <> 'F'"""
 )
 def xml_nested_parse(spark: SparkSession, folder: str) -> DataFrame:
-    documents = parse_nested(readers.read_xml(spark, landed_xml(spark, folder), "Investment"))
+    documents = parse_nested(readers.read_xml(spark, landed_xml(spark, folder), "Investment", XML_DOCUMENT))
     investor, first = F.col("investor"), F.col("returns_array")[0]
     return documents.select(
         F.col("InvestmentID").cast("bigint").alias("investment_id"),
@@ -150,11 +150,10 @@ def event_json_flatten(spark: SparkSession, folder: str) -> DataFrame:
     )
 )
 def table_scan(spark: SparkSession, folder: str) -> DataFrame:
-    path = fresh_path(spark, "table")
-    name = f"acreage_sales_{path[-12:]}"
-    views.sales(spark, folder, dealt=True).write.option("path", path).saveAsTable(name)
+    # A name of the session alone: the catalog keeps nothing of it.
+    writers.stored(views.sales(spark, folder, dealt=True)).createOrReplaceTempView("acreage_sales")
     return (
-        readers.read_table(spark, name)
+        readers.read_table(spark, "acreage_sales")
         .groupBy("prop_state_nm", "prop_zip_cd")
         .agg(F.count("*").alias("n_rows"), F.max("prop_last_sale_amt").alias("top_amt"))
     )
@@ -274,13 +273,15 @@ def schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
     views.sql_with("sales", then=f"SELECT {KEYS}, etl_nr, prop_zip_cd FROM sales"), name="incremental_ingest"
 )
 def take_in_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """All sales landed as files, then some of them again, taken in a few files at a time."""
+    """All sales landed as files, then some of them again, taken in by as many bytes at a time as
+    the session's tasks have room for."""
     landing, sink, checkpoint = (fresh_path(spark, n) for n in ("landing", "sink", "progress"))
     rows = views.sales(spark, folder).select(*views.SALE_KEY, "etl_nr", "prop_zip_cd")
     merge = insert_new_into(sink, rows.schema, views.SALE_KEY, checkpoint)
+    room = spark.sparkContext.defaultParallelism * (128 << 20)
 
     def take_in() -> None:
-        incremental_ingest(spark, landing, rows.schema, merge, checkpoint, bytes_per_batch="1g").awaitTermination()
+        incremental_ingest(spark, landing, rows.schema, merge, checkpoint, bytes_per_batch=room).awaitTermination()
 
     rows.repartition("l_orderkey").write.parquet(landing)
     take_in()

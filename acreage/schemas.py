@@ -117,6 +117,11 @@ XML_INVESTORS = T.StructType().add(
 )
 XML_RETURNS = T.ArrayType(layout("Amount double, ROI double, Year int"))
 
+# An investment document as it lands.
+XML_DOCUMENT = (
+    layout("InvestmentID bigint, Status string, Amount double").add("Investors", XML_INVESTORS).add("Returns", XML_RETURNS)
+)
+
 # One landed response of the property service, with the property's events.
 PARCEL_RESPONSE = layout(
     """

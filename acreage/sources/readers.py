@@ -7,8 +7,11 @@ from acreage.schemas import PARCEL_RESPONSE, SALES_FEED
 
 
 def read_sales_csv(spark: SparkSession, folder: str, schema: T.StructType = SALES_FEED) -> DataFrame:
-    """All files of a landing folder; a cell that does not fit its type becomes NULL."""
-    return spark.read.schema(schema).option("header", True).csv(folder)
+    """All files of a landing folder; a cell that does not fit its type becomes NULL.
+
+    A file whose header names are not those of the layout, in its order, fails the read.
+    """
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(folder)
 
 
 def read_csv_inferred(

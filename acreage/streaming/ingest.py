@@ -53,7 +53,7 @@ def incremental_ingest(
     *,
     file_format: str = "parquet",
     files_per_batch: int | None = None,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
     options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Hand every file that has landed since the last run to ``merge``, then stop.

@@ -4,9 +4,9 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as contract
+from acreage.plans.registry import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
