@@ -10,6 +10,7 @@ from acreage.operators.changes import (
     deleted_for_good,
     insert_new,
     require_unique,
+    spread_null_keys,
     upsert,
 )
 
@@ -130,3 +131,22 @@ def test_upsert_updates_inserts_and_keeps(spark):
 def test_upsert_equals_a_dictionary_update(spark, before, after):
     old, new = (spark.createDataFrame(list(s.items()), KV) for s in (before, after))
     assert rows(upsert(old, new, ["k"])) == {kv: 1 for kv in (before | after).items()}
+
+
+def test_upsert_with_many_keyless_rows_on_both_sides(spark):
+    target = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    source = spark.range(3000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), (-F.col("id")).alias("v"))
+    out = upsert(target, source, ["k"])
+    assert out.count() == 3000 + 3000 - 500
+    assert out.where("k IS NULL").count() == 2000 + 1500
+    assert out.where("k IS NOT NULL AND v > 0").count() == 500
+    for keyed in (spread_null_keys(source, ["k"]),):
+        assert keyed.where("k IS NULL").select("_spread").distinct().count() == 1500
+
+
+def test_only_keys_of_the_batch_are_taken_from_the_target(spark, tmp_path):
+    spark.range(1000).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "t"))
+    spark.range(990, 1010).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "b"))
+    target, batch = (spark.read.parquet(str(tmp_path / n)) for n in ("t", "b"))
+    new = insert_new(batch, target, ["k"])
+    assert "LeftSemi" in plan(new) and sorted(r.k for r in new.collect()) == list(range(1000, 1010))

@@ -3,8 +3,9 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
-from util import rows
+from util import plan, rows
 
+from acreage.operators.conform import trailing_months
 from acreage.operators.synth import synth_sales
 from acreage.plans import jobs
 from acreage.schemas import PARCEL_RESPONSE, TABLES
@@ -134,3 +135,23 @@ def test_parcels_that_land_between_loads_are_not_lost(spark, tmp_path):
     jobs.bronze_parcels(lake, parcels(4), TWO)
     assert jobs.parcel_sales(lake, TWO).count() == pairs.count()
     assert jobs.match(lake, TWO).where("etl_nr = 2").select("brnz_prcl_prop_sales_dtl_sk").distinct().count() == 1
+
+
+def test_the_profile_window_prunes_years_and_batches_prune_folders(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    old = feed(spark, 0, 20).withColumn("Last Sale Date", F.lit("1998-05-01").cast("date"))
+    for part in (old, feed(spark, 20, 40)):
+        jobs.bronze_sales(lake, part, ONE)
+        jobs.silver_sales(lake, ONE)
+    recent = trailing_months(jobs.table(lake, jobs.SILVER_SALES), ONE, year="year")
+    text = plan(recent)
+    assert "PartitionFilters: [isnotnull(year" in text and "(year" in text.split("PartitionFilters")[1].split("]")[0]
+    # Files of other years and batches may be broken without anyone noticing.
+    for broken in ((tmp_path / "silver").rglob("year=1998/*.parquet"), (tmp_path / "bronze").rglob("etl_nr=1/**/*.parquet")):
+        for part in list(broken):
+            part.write_text("not a table")
+    assert recent.count() == 20
+    assert jobs.batches(lake, jobs.BRONZE_SALES, 1, 2).count() == 20
+    assert lake.marks(jobs.SILVER_SALES) == {"load_nr": 2, "taken_nr": 2, "top_nr": 40}
+    jobs.bronze_sales(lake, feed(spark, 40, 50), ONE)
+    assert lake.marks(jobs.BRONZE_SALES) == {"etl_nr": 3, "top_nr": 50}
