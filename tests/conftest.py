@@ -5,11 +5,12 @@ import pytest
 
 sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
-from acreage.session import local_session  # noqa: E402
+from acreage.session import local_session, share_code  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(4, "tests", partitions=4)
+    share_code(session)
     yield session
     session.stop()
