@@ -4,7 +4,9 @@ For each language a tree of byte contexts of varying length holds how often each
 A text's code length under a tree is the sum over its bytes of -log2 of the chance the tree gives
 it: the longest context that is known predicts, and what it has never seen followed costs an
 escape to the next shorter one, whose bytes already ruled out are left aside. Statistics are
-frozen after training. The language with the shortest code is the prediction.
+frozen after training. Each stretch of a text counts for the language with the shortest code, and
+the language of most of the text is the prediction: a passage in another one, whose code is long
+under all languages but its own, does not outweigh the rest.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ MAX_CONTEXTS = 12_288
 MAX_NUMBERS = 16_000_000
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
+# Bytes of a stretch that is given to one language.
+STRETCH = 192
 # Bytes a column of the scoring table reads one after another.
 STRIDE = 512
 
@@ -52,8 +56,9 @@ class Trees:
     follow: np.ndarray
     bits: np.ndarray
 
-    def lengths(self, texts: list[bytes]) -> np.ndarray:
-        """Code length in bits of each text under each language.
+    def lengths(self, texts: list[bytes], stretch: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Code length in bits of each stretch of each text under each language, with the number
+        of its text and its size; without ``stretch`` each text is one. Empty texts have none.
 
         All texts lie behind one another, each after ORDER line feeds, so no context reaches
         into another text. Many places are read at once: a state depends on the last ORDER bytes
@@ -81,13 +86,30 @@ class Trees:
         places = at.T.reshape(-1)[: len(stream)]
         ends = np.cumsum(sizes)
         starts = ends - sizes + ORDER
-        out = np.zeros((len(texts), len(self.languages)))
-        filled = sizes > ORDER
-        cuts = np.stack([starts[filled], ends[filled]], 1).ravel()
+        step = stretch or max(1, int(sizes.max()))
+        parts = -(-(sizes - ORDER) // step)
+        of = np.repeat(np.arange(len(texts)), parts)
+        begins = starts[of] + step * (np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts))
+        stops = np.minimum(begins + step, ends[of])
+        cuts = np.stack([begins, stops], 1).ravel()
+        out = np.zeros((len(of), len(self.languages)))
         for number, bits in enumerate(self.bits):
             taken = np.append(bits.ravel().take(places), np.float32(0)).astype(np.float64)
-            out[filled, number] = np.add.reduceat(taken, cuts)[::2]
-        return out
+            if len(cuts):
+                out[:, number] = np.add.reduceat(taken, cuts)[::2]
+        return out, of, stops - begins
+
+    def decide(self, texts: list[bytes]) -> tuple[list[str], list[float]]:
+        """The language of most of each text, ties to the shorter code of the whole, and the share
+        of the text that is in it."""
+        bits, of, sizes = self.lengths(texts, STRETCH)
+        count = len(self.languages)
+        shares = np.bincount(of * count + bits.argmin(1), sizes, len(texts) * count).reshape(-1, count)
+        whole = np.stack([np.bincount(of, bits[:, k], len(texts)) for k in range(count)], 1)
+        tied = shares == shares.max(1, keepdims=True)
+        best = np.where(tied, whole, np.inf).argmin(1)
+        chosen = shares[np.arange(len(texts)), best] / np.maximum(shares.sum(1), 1)
+        return [self.languages[b] for b in best.tolist()], chosen.tolist()
 
 
 def sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
@@ -143,11 +165,11 @@ def context_counts(texts: DataFrame) -> DataFrame:
 def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Trees:
     """Trees of the languages in ``lang``; rows without a text or language teach nothing.
 
-    Counts are made and added up in tasks. The most frequent MAX_ENTRIES reach the driver, which
-    lays out the trees.
+    Counts are made and added up in tasks. Those above the smallest count of which no more than
+    MAX_ENTRIES reach the driver are sent to it, which lays out the trees.
     """
-    counts = context_counts(sample(docs, per_language))
-    rows = counts.orderBy(F.desc("n"), "size", "entry", "lang").limit(MAX_ENTRIES).toPandas()
+    counts = stored(context_counts(sample(docs, per_language)))
+    rows = counts.where(F.col("n") >= least_count(counts, MAX_ENTRIES)).toPandas()
     languages = sorted(rows["lang"].unique())
     symbols = np.zeros(256, np.int32)
     seen = np.sort(rows["entry"][rows["size"] == 0].unique())
@@ -182,6 +204,18 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Trees:
     return Trees(languages, symbols, follow, bits)
 
 
+def least_count(counts: DataFrame, most: int) -> int:
+    """The smallest count from which on there are at most ``most`` rows; at most 100,000, where
+    what is left is few."""
+    ceiling = F.least("n", F.lit(100_000)).alias("n")
+    total, least = 0, 1
+    for row in sorted(counts.groupBy(ceiling).agg(F.count("*").alias("rows")).collect(), reverse=True):
+        if total + row["rows"] > most:
+            return row["n"] + 1
+        total, least = total + row["rows"], row["n"]
+    return least
+
+
 def code_lengths(counts: np.ndarray, parent: np.ndarray) -> np.ndarray:
     """The exact code length of each symbol after each context, with escapes and exclusions.
 
@@ -211,8 +245,8 @@ def code_lengths(counts: np.ndarray, parent: np.ndarray) -> np.ndarray:
 def predict(docs: DataFrame, trees: Trees, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep``, ``lang_pred`` and ``score`` for the whole ``text`` of each row.
 
-    The score is the chance of the language if all were as likely beforehand. A NULL text, one
-    without a letter, and every text if nothing was learned are ``und`` with score 0.
+    The score is the share of the text that is in the language. A NULL text, one without a letter,
+    and every text if nothing was learned are ``und`` with score 0.
     """
     rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(trees)
@@ -224,12 +258,8 @@ def predict(docs: DataFrame, trees: Trees, keep: tuple[str, ...] = ("doc_id",))
             found, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
             places = [i for i, t in enumerate(texts) if t and model.languages and LETTER.search(t)]
             if places:
-                bits = model.lengths([texts[i].encode() for i in places])
-                best = bits.argmin(1)
-                gap = bits - bits.min(1)[:, None]
-                chance = 1 / np.exp2(-np.minimum(gap, 1000)).sum(1)
-                for i, b, c in zip(places, best.tolist(), chance.tolist()):
-                    found[i], scores[i] = model.languages[b], c
+                for i, lang, share in zip(places, *model.decide([texts[i].encode() for i in places])):
+                    found[i], scores[i] = lang, share
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(found), pa.array(scores)], [*keep, "lang_pred", "score"]
             )

@@ -49,7 +49,10 @@ def test_code_lengths_are_those_of_the_definition(trees):
             for size in range(langid.ORDER + 1):
                 contexts[data[i - size : i]] = 1
     texts = ["the hund", "über there", "zzz", "a", "", "die katze " * 200]
-    got = trees.lengths([t.encode() for t in texts])
+    bits, of, _ = trees.lengths([t.encode() for t in texts])
+    assert of.tolist() == [0, 1, 2, 3, 5]
+    got = np.zeros((len(texts), len(trees.languages)))
+    got[of] = bits
     for number, lang in enumerate(trees.languages):
         want = [code_length(t, [TEXTS[lang]] * 3, contexts) for t in texts]
         assert np.allclose(got[:, number], want, rtol=1e-4, atol=1e-3)
@@ -57,8 +60,16 @@ def test_code_lengths_are_those_of_the_definition(trees):
 
 def test_a_text_costs_the_same_in_any_company(trees):
     texts = [b"the other", b"die katze" * 300, b"x" * 2000, "über".encode()]
-    alone = np.concatenate([trees.lengths([t]) for t in texts])
-    assert np.allclose(alone, trees.lengths(texts))
+    alone = np.concatenate([trees.lengths([t])[0] for t in texts])
+    assert np.allclose(alone, trees.lengths(texts)[0])
+    stretches, of, sizes = trees.lengths(texts, 100)
+    assert np.bincount(of, sizes).tolist() == [len(t) for t in texts] and sizes.max() == 100
+    assert np.allclose([stretches[of == k].sum(0) for k in range(4)], alone)
+
+
+def test_a_passage_in_another_language_does_not_decide(trees):
+    text = TEXTS["en"] * 9 + TEXTS["de"] * 6
+    assert trees.decide([text.encode()])[0] == ["en"]
 
 
 def test_predictions_and_what_is_rejected(trees, make_docs):
