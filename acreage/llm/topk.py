@@ -50,7 +50,7 @@ def whole_numbers(vectors: DataFrame, scale: int) -> DataFrame:
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < limit))
     takes_part = F.col("vec_id").isNotNull() & v.isNotNull() & finite
     x = F.transform(v, lambda c: F.floor(c * scale).cast("double"))
-    return vectors.where(takes_part).select("vec_id", x.alias("x"))
+    return vectors.where(takes_part).select(F.col("vec_id").cast("long"), x.alias("x"))
 
 
 def choose_pivots(rows: DataFrame, count: int, dim: int) -> np.ndarray:
