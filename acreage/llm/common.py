@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters of text a task turns into Python objects at a time.
-CHARS_AT_ONCE = 2_000_000
+CHARS_AT_ONCE = 1_000_000
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
