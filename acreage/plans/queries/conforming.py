@@ -163,7 +163,8 @@ INSERT_NEW_SQL = f"""
 
 @query(views.sql_with("sales", then=f", {INSERT_NEW_SQL} SELECT {KEYS}, address_key FROM fresh"))
 def insert_new_only(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = stored(gapped_sales(spark, folder).withColumn("address_key", address_key()))
+    keyed = gapped_sales(spark, folder).withColumn("address_key", address_key())
+    keyed = stored(keyed.select(*views.SALE_KEY, "investor_company_nm_txt", "address_key", "prop_last_sale_dt"))
     day = F.col("prop_last_sale_dt")
     batch, target = keyed.where(day >= "2001-01-01"), keyed.where(day < "2001-04-01")
     new = insert_new(batch, target, ["investor_company_nm_txt", "address_key"])
