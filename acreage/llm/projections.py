@@ -3,12 +3,15 @@
 Each pass draws random planes, writes down for every vector on which side of each it lies, and
 sorts all vectors by that string of bits. Vectors at a small angle share long beginnings, so each
 is compared with a bounded number of neighbours in the order. Verified pairs of all passes are
-united; inside each connected group, links are then counted exactly.
+united. What the passes find is only a start: every vector is then compared with all others that
+its distances from a few pivots do not rule out, which counts links exactly and unites the groups
+that the passes left apart.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +24,12 @@ from acreage.sources.writers import stored
 COSINE = 0.95
 # Passes, bits of a pass's string, and neighbours after it that a vector is compared with.
 PASSES, BITS, WINDOW = 16, 60, 48
-# Vectors that one task compares with as many others, when links are counted.
-BLOCK = 2048
+# Vectors, and bytes of them, that are sent to the tasks at a time to be compared with all.
+BLOCK, BLOCK_BYTES = 65_536, 32 << 20
+# Pivots of each vector length, and vectors they are chosen from.
+PIVOTS, PIVOT_SAMPLE = 32, 4096
+# Two linked vectors' angles from a third do not differ by more; rounding does not reach the rest.
+ANGLE = np.arccos(COSINE) + 1e-6
 # Rows handled at once, which bounds the table of cosines.
 ROWS = 1024
 
@@ -109,41 +116,187 @@ def neighbour_links(keys: DataFrame, partitions: int) -> DataFrame:
     return ordered.select("pass", "dim", "node", "v").mapInArrow(run, "a long, b long")
 
 
-def degrees(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """``node`` and ``near``: how many vectors of its group each is linked to, by their ``copies``.
+def choose_pivots(nodes: DataFrame) -> dict[int, np.ndarray]:
+    """For each vector length of a sample some vectors that lie far from one another."""
+    count, longest = nodes.agg(F.count("*"), F.max(F.size("v"))).first()
+    wanted = max(1, min(PIVOT_SAMPLE, BLOCK_BYTES // (8 * (longest or 1))))
+    place = F.pmod(F.xxhash64("node", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
+    sample = nodes.where(place < 2 * wanted / max(1, count)).select("v").limit(wanted).toArrow().combine_chunks()
+    pivots = {}
+    for rows in (r for b in sample.to_batches() for r in by_length(b)):
+        units = matrix(rows.column("v"))
+        chosen = [0]
+        nearest = units @ units[0]
+        while len(chosen) < min(PIVOTS, len(units)):
+            chosen.append(int(nearest.argmin()))
+            nearest = np.maximum(nearest, units @ units[chosen[-1]])
+        pivots[units.shape[1]] = units[chosen]
+    return pivots
 
-    A group's nodes are dealt into blocks of bounded size, and each pair of blocks is one task's
-    table of cosines: links are counted there, not listed.
+
+def angles(units: np.ndarray, pivots: dict[int, np.ndarray]) -> np.ndarray:
+    """The angle of each vector from each pivot of its length; no column if there is none."""
+    own = pivots.get(units.shape[1], np.zeros((0, units.shape[1])))
+    return np.arccos(np.clip(units @ own.T, -1, 1))
+
+
+def in_order(nodes: DataFrame, pivots: dict[int, np.ndarray], partitions: int) -> DataFrame:
+    """The nodes, stored in order of length, nearest pivot and angle from it; ``place`` rises in
+    that order, so vectors that follow one another can be ruled out together."""
+    shared = nodes.sparkSession.sparkContext.broadcast(pivots)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                for rows in by_length(batch.slice(start, ROWS)):
+                    units = matrix(rows.column("v"))
+                    off = angles(units, shared.value)
+                    off = off if off.shape[1] else np.zeros((len(units), 1))
+                    nearest = off.argmin(1)
+                    added = [np.full(len(units), units.shape[1]), nearest, off[np.arange(len(off)), nearest]]
+                    yield pa.RecordBatch.from_arrays(
+                        [*rows.columns, *(pa.array(a, t) for a, t in zip(added, (pa.int32(), pa.int32(), pa.float64())))],
+                        [*rows.schema.names, "dim", "pivot", "off"],
+                    )
+
+    rows = nodes.select("node", "root", "copies", "v")
+    keyed = stored(rows.mapInArrow(run, "node long, root long, copies long, v array<double>, dim int, pivot int, off double"))
+    by = ["dim", "pivot", "off", "node"]
+    ordered = keyed.repartitionByRange(partitions, *by).sortWithinPartitions(*by)
+    return stored(ordered.select(F.monotonically_increasing_id().alias("place"), "node", "root", "copies", "v"))
+
+
+def portions(index: DataFrame, longest: int) -> Iterator[tuple[int, int]]:
+    """First place and end of stretches of the order that together are all of it."""
+    most = max(1, min(BLOCK, BLOCK_BYTES // (8 * longest)))
+    sizes = index.groupBy(F.shiftright("place", 33).alias("part")).count().orderBy("part").collect()
+    begin, held = 0, 0
+    for part, rows in sizes:
+        done = 0
+        while rows - done > most - held:
+            done += most - held
+            yield begin, (part << 33) + done
+            begin, held = (part << 33) + done, 0
+        held += rows - done
+    if held:
+        yield begin, (1 << 63) - 1
+
+
+@dataclass
+class Stretch:
+    """At most ROWS vectors of one length, and between which angles from each pivot they lie."""
+
+    nodes: np.ndarray
+    roots: np.ndarray
+    copies: np.ndarray
+    units: np.ndarray
+    rough: np.ndarray
+    least: np.ndarray
+    most: np.ndarray
+
+    def may_link(self, other: Stretch) -> bool:
+        return bool((self.least - other.most <= ANGLE).all() and (other.least - self.most <= ANGLE).all())
+
+    def links(self, other: Stretch) -> tuple[np.ndarray, np.ndarray]:
+        """Places of linked vectors. Single precision decides where rounding cannot reach."""
+        slack = 1e-5 + 2.4e-7 * self.units.shape[1]
+        cosines = self.rough @ other.rough.T
+        here, there = np.nonzero(cosines >= COSINE - slack)
+        sure = cosines[here, there] >= COSINE + slack
+        for start in range(0, len(here), ROWS * 64):
+            doubtful = start + np.flatnonzero(~sure[start : start + ROWS * 64])
+            for at in range(0, len(doubtful), ROWS):
+                some = doubtful[at : at + ROWS]
+                sure[some] = np.einsum("ij,ij->i", self.units[here[some]], other.units[there[some]]) >= COSINE
+        return here[sure], there[sure]
+
+
+def stretches(batch: pa.RecordBatch, pivots: dict[int, np.ndarray]) -> Iterator[Stretch]:
+    for start in range(0, batch.num_rows, ROWS):
+        for rows in by_length(batch.slice(start, ROWS)):
+            units = matrix(rows.column("v"))
+            off = angles(units, pivots)
+            columns = [np.asarray(rows.column(c)) for c in ("node", "root", "copies")]
+            yield Stretch(*columns, units, units.astype(np.float32), off.min(0), off.max(0))
+
+
+def compared(index: DataFrame, others: dict[int, list[Stretch]], pivots: dict[int, np.ndarray]) -> DataFrame:
+    """Each row of the index against all ``others`` of its length: ``a``, ``near`` for a node and
+    how many rows it is linked to there, itself and its copies among them; ``a``, ``b`` for the
+    roots of two groups that a link connects. A task gives no link that follows from its others.
     """
-    members = nodes.join(roots, "node")
-    parts = stored(members.groupBy("root").agg(F.ceil(F.count("*") / (BLOCK / 2)).cast("int").alias("parts")))
-    members = members.join(parts, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    meets = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    members = members.select("root", "node", "copies", "v", "own", meets)
-    members = members.select(
-        "root", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "copies", "v"
-    )
+    shared = index.sparkSession.sparkContext.broadcast((others, pivots))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others, pivots = shared.value
+        parents: dict[int, int] = {}
 
-    def count(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        own = np.asarray(table.column("own"))
-        nodes, copies = np.asarray(table.column("node")), np.asarray(table.column("copies"))
-        units = matrix(table.column("v").combine_chunks())
-        here, there = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        near = np.zeros(len(nodes), np.int64)
-        for start in range(0, len(here), ROWS):
-            some = here[start : start + ROWS]
-            linked = units[some] @ units[there].T >= COSINE
-            if low == high:
-                linked[some[:, None] == there[None, :]] = False
-            near[some] += linked @ copies[there]
-            if low != high:
-                near[there] += copies[some] @ linked
-        return pa.table({"node": pa.array(nodes, pa.int64()), "near": pa.array(near, pa.int64())})
-
-    counted = members.groupBy("root", "low", "high").applyInArrow(count, "node long, near long")
-    return counted.groupBy("node").agg(F.sum("near").alias("near"))
+        def top(root: int) -> int:
+            while (above := parents.get(root, root)) != root:
+                parents[root] = parents.get(above, above)
+                root = above
+            return root
+
+        for batch in batches:
+            for own in stretches(batch, pivots):
+                near = np.zeros(len(own.nodes), np.int64)
+                joins = []
+                for other in others.get(own.units.shape[1], []):
+                    if not own.may_link(other):
+                        continue
+                    here, there = own.links(other)
+                    np.add.at(near, here, other.copies[there])
+                    apart = own.roots[here] != other.roots[there]
+                    if apart.any():
+                        pairs = np.unique(np.stack([own.roots[here[apart]], other.roots[there[apart]]], 1), axis=0)
+                        for a, b in pairs.tolist():
+                            if top(a) != top(b):
+                                parents[top(a)] = top(b)
+                                joins.append((a, b))
+                some = np.flatnonzero(near)
+                ends = np.array(joins, np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([own.nodes[some], ends[:, 0]]), pa.int64()),
+                        pa.array([*[None] * len(some), *ends[:, 1].tolist()], pa.int64()),
+                        pa.array([*near[some].tolist(), *[None] * len(ends)], pa.int64()),
+                    ],
+                    ["a", "b", "near"],
+                )
+
+    found = stored(index.select("node", "root", "copies", "v").mapInArrow(run, "a long, b long, near long"))
+    shared.unpersist()
+    return found
+
+
+def all_links(nodes: DataFrame, roots: DataFrame, partitions: int) -> DataFrame:
+    """``node``, ``root`` and ``near``: each node's group, and the number of rows it is linked to,
+    itself and its copies among them. No link is missed: see ``compared``.
+
+    The vectors are sent to the tasks in portions, so more of them are more passes over the
+    stored order, not larger ones, and nothing is listed per pair.
+    """
+    members = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "copies", "v")
+    pivots = choose_pivots(nodes)
+    index = in_order(members, pivots, partitions)
+    longest = index.agg(F.max(F.size("v"))).first()[0] or 1
+    found = None
+    for begin, end in portions(index, longest):
+        some = index.where((F.col("place") >= begin) & (F.col("place") < end)).orderBy("place").toArrow()
+        others: dict[int, list[Stretch]] = {}
+        for stretch in (s for b in some.combine_chunks().to_batches() for s in stretches(b, pivots)):
+            others.setdefault(stretch.units.shape[1], []).append(stretch)
+        part = compared(index, others, pivots)
+        found = part if found is None else found.unionByName(part)
+    grouped = index.select("node", "root")
+    if found is None:
+        return grouped.withColumn("near", F.lit(0).cast("long"))
+    joined = found.where(F.col("b").isNotNull()).select("a", "b")
+    if not joined.isEmpty():
+        moved = components(joined).select(F.col("node").alias("root"), F.col("root").alias("to"))
+        grouped = stored(grouped.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+    near = found.where(F.col("b").isNull()).groupBy(F.col("a").alias("node")).agg(F.sum("near").alias("near"))
+    return grouped.join(near, "node")
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
@@ -162,13 +315,10 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     links = stored(neighbour_links(keyed(nodes), partitions).distinct())
     roots = stored(components(links))
-    near = degrees(nodes, roots)
-    whole = nodes.select("h1", "h2", "node", "first", "copies").join(roots, "node", "left").join(near, "node", "left")
-    whole = stored(whole.select("h1", "h2", "first", "copies", F.coalesce("root", "node").alias("root"), "near"))
+    whole = nodes.select("h1", "h2", "node", "first").join(all_links(nodes, roots, partitions), "node")
+    whole = stored(whole.select("h1", "h2", "first", "root", "near"))
     groups = whole.groupBy("root").agg(F.min("first").alias("component_id"))
-    settled = whole.join(stored(groups), "root").select(
-        "h1", "h2", "component_id", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links")
-    )
+    settled = whole.join(stored(groups), "root").select("h1", "h2", "component_id", (F.col("near") - 1).alias("n_links"))
     settled = stored(settled)
     linked = rows.select("vec_id", "h1", "h2").join(settled, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
     # What cannot be compared is a component of its own.

@@ -53,6 +53,39 @@ def test_links_and_components_against_all_pairs(spark, monkeypatch, block):
     assert sorted(map(tuple, got.collect()), key=str) == brute_links(rows)
 
 
+def test_no_link_is_lost_among_near_neighbours_that_are_not_linked(spark):
+    rnd = np.random.default_rng(3)
+    middle = np.zeros(64)
+    middle[0] = 1
+    others = rnd.normal(size=(9000, 64))
+    others[:, 0] = 0
+    others /= np.linalg.norm(others, axis=1, keepdims=True)
+    points = np.sqrt(0.85) * middle + np.sqrt(0.15) * others
+    # The first 600 are given partners at a cosine of 0.955; the cosine of most others is 0.85.
+    beside = rnd.normal(size=(600, 64))
+    beside -= (beside * points[:600]).sum(1, keepdims=True) * points[:600]
+    beside /= np.linalg.norm(beside, axis=1, keepdims=True)
+    points = np.concatenate([points, 0.955 * points[:600] + np.sqrt(1 - 0.955**2) * beside]).astype(np.float32)
+    units = points.astype(float) / np.linalg.norm(points.astype(float), axis=1, keepdims=True)
+    want = (units @ units.T >= 0.95).sum(1) - 1
+    assert want[:600].all() and (want == 0).sum() > 6000
+    rows = [(i, p) for i, p in enumerate(points.tolist())]
+    got = projections.near_duplicates(table(spark, rows)).collect()
+    assert {r.vec_id: r.n_links for r in got} == dict(enumerate(want.tolist()))
+    component = {r.vec_id: r.component_id for r in got}
+    assert all(component[i] == component[9000 + i] for i in range(600))
+
+
+@pytest.mark.parametrize("passes", [1, 16])
+def test_what_the_passes_miss_is_found(spark, monkeypatch, passes):
+    monkeypatch.setattr(projections, "PASSES", passes)
+    monkeypatch.setattr(projections, "WINDOW", 1)
+    monkeypatch.setattr(projections, "ROWS", 32)
+    rows = vectors(4) + [(950, [1.0, 2.0, 3.0]), (951, [1.0, 2.0, 3.1])]
+    got = projections.near_duplicates(table(spark, rows)).select("vec_id", "n_links", "component_id", "kept")
+    assert sorted(map(tuple, got.collect()), key=str) == brute_links(rows)
+
+
 def test_empty_tables(spark):
     assert projections.near_duplicates(table(spark, [])).count() == 0
     assert topk.search(table(spark, [])).count() == 0
