@@ -126,8 +126,9 @@ DOUBTFUL = (
 KINDS = (*BASE, *DOUBTFUL)
 
 
-def running(sizes: Column) -> Column:
-    """For each size the sum of those up to it, itself included."""
+def running(sizes: Column, joined: Callable[[Column, Column], Column] = lambda a, x: a + x) -> Column:
+    """For each size the sum of those up to it, itself included; or what else ``joined`` makes of
+    them, beginning with 0."""
 
     def summed(part: Column, start: Column) -> Column:
         first = F.struct(start.alias("sum"), F.array().cast("array<int>").alias("out"))
@@ -135,7 +136,7 @@ def running(sizes: Column) -> Column:
             part,
             first,
             lambda a, x: let(
-                a["sum"] + x, lambda s: F.struct(s.alias("sum"), F.concat(a["out"], F.array(s)).alias("out"))
+                joined(a["sum"], x), lambda s: F.struct(s.alias("sum"), F.concat(a["out"], F.array(s)).alias("out"))
             ),
         )["out"]
 
@@ -144,7 +145,7 @@ def running(sizes: Column) -> Column:
         parts = F.transform(firsts, lambda at: F.slice(sizes, at, F.lit(STRETCH)))
 
         def ends(parts: Column) -> Column:
-            totals = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda a, x: a + x))
+            totals = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), joined))
             return let(
                 summed(totals, F.lit(0)),
                 lambda sums: F.flatten(
@@ -211,6 +212,10 @@ def kind_spans(text: Column, order: int, kind: Kind) -> Column:
     return F.when(there, let(candidates(text, kind), placed)).otherwise(none)
 
 
+def all_spans(text: Column, kinds: tuple[Kind, ...]) -> Column:
+    return F.array_sort(F.concat(*[kind_spans(text, i, k).cast(SPANS) for i, k in enumerate(kinds)]))
+
+
 def find(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """The rows with ``pii`` in addition: confirmed spans by start and then kind, each with its score.
 
@@ -218,9 +223,7 @@ def find(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS) -
     empty texts have none. A column that is called ``pii`` is replaced; others do not matter.
     Nothing is shuffled.
     """
-    whole = F.coalesce(F.col(text), F.lit(""))
-    every = F.concat(*[kind_spans(whole, i, k).cast(SPANS) for i, k in enumerate(kinds)])
-    return docs.withColumn("pii", F.array_sort(every))
+    return docs.withColumn("pii", all_spans(F.coalesce(F.col(text), F.lit("")), kinds))
 
 
 def listed(spans: Column) -> Column:
@@ -230,11 +233,67 @@ def listed(spans: Column) -> Column:
     )
 
 
+def merged(spans: Column) -> Column:
+    """Sorted spans with those that overlap made one ``start``, ``end`` and ``kind``: that of the
+    longest, or the first listed of several."""
+
+    def cut(ends: Column) -> Column:
+        firsts = F.filter(
+            F.sequence(F.lit(0), F.size(spans) - 1), lambda i: (i == 0) | (F.get(spans, i)["start"] >= F.get(ends, i - 1))
+        )
+
+        def one(firsts: Column) -> Column:
+            def stretch(first: Column, k: Column) -> Column:
+                after = F.coalesce(F.get(firsts, k + 1), F.size(spans))
+                worth = F.transform(
+                    F.slice(spans, first + 1, after - first),
+                    lambda s: F.struct((s["end"] - s["start"]).alias("size"), (-s["order"]).alias("order"), s["kind"].alias("kind")),
+                )
+                return F.struct(
+                    F.get(spans, first)["start"].alias("start"),
+                    F.get(ends, after - 1).alias("end"),
+                    F.array_max(worth)["kind"].alias("kind"),
+                )
+
+            return F.transform(firsts, stretch)
+
+        return let(firsts, one)
+
+    return let(running(F.transform(spans, lambda s: s["end"]), lambda a, x: F.greatest(a, x)), cut)
+
+
+def covered(text: Column, cuts: Column) -> Column:
+    """The text with each of the sorted, separate ``cuts`` replaced by its kind.
+
+    Places are counted from the start of a stretch of cuts, not from that of the text.
+    """
+
+    def part(at: Column) -> Column:
+        begin = F.coalesce(F.get(cuts, at - 2)["end"], F.lit(0))
+
+        def written(c: Column) -> Column:
+            def piece(x: Column, i: Column) -> Column:
+                before = F.when(i == 0, begin).otherwise(F.get(c["cuts"], i - 1)["end"])
+                gap = F.substr(c["text"], before - begin + 1, x["start"] - before)
+                return F.concat(gap, F.lit("<"), F.upper(x["kind"]), F.lit(">"))
+
+            return F.array_join(F.transform(c["cuts"], piece), "")
+
+        some = F.slice(cuts, at, F.lit(STRETCH))
+        end = F.element_at(some, -1)["end"]
+        return let(F.struct(some.alias("cuts"), F.substr(text, begin + 1, end - begin).alias("text")), written)
+
+    firsts = F.sequence(F.lit(1), F.size(cuts), F.lit(STRETCH))
+    rest = F.substr(text, F.element_at(cuts, -1)["end"] + 1)
+    return F.concat(F.array_join(F.transform(firsts, part), ""), rest)
+
+
 def mask(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """The rows with each confirmed span of ``text`` replaced by its kind in angle brackets.
 
-    Kinds are masked one after another, doubtful ones last, so overlapping spans leave nothing of
-    the first. Texts without spans, NULL ones too, stay as they are.
+    The spans are those ``find`` gives for the whole text; of overlapping ones everything goes.
+    What only shows once its surroundings are replaced is masked afterwards, kind by kind. Texts
+    without spans, NULL ones too, stay as they are.
     """
 
     def masked(text: Column, kind: Kind) -> Column:
@@ -250,5 +309,11 @@ def mask(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS) -
             there = F.contains(text, F.lit(kind.needs)) & there
         return F.when(there, let(candidates(text, kind), joined)).otherwise(text)
 
+    # Steps in columns of their own: one expression of all would be nested too deep to resolve.
+    name = "_" * (1 + max(map(len, docs.columns)))
+    spans, cuts = F.col(name), F.col(f"{name}cuts")
+    rows = docs.withColumn(name, all_spans(F.coalesce(F.col(text), F.lit("")), kinds))
+    rows = rows.withColumn(f"{name}cuts", F.when(F.size(spans) > 0, merged(spans)))
+    rows = rows.withColumn(text, F.when(cuts.isNull(), F.col(text)).otherwise(covered(F.col(text), cuts)))
     new = reduce(lambda text, kind: let(text, lambda t: masked(t, kind)), kinds, F.col(text))
-    return docs.withColumn(text, new)
+    return rows.withColumn(text, F.when(cuts.isNull(), F.col(text)).otherwise(new)).drop(name, f"{name}cuts")

@@ -79,6 +79,45 @@ def test_masking_leaves_no_span_and_no_other_change(make_docs, spark):
     assert pii.find(make_docs([])).count() == 0
 
 
+def covered(text, found):
+    """The text with all of the spans replaced, overlapping ones by the kind of the longest."""
+    out, at, stretches = "", 0, []
+    for start, _, end, kind in sorted(found):
+        if stretches and start < stretches[-1][1]:
+            last = stretches[-1]
+            stretches[-1] = (last[0], max(last[1], end), [*last[2], (start - end, pii.KINDS.index(by_name[kind]), kind)])
+        else:
+            stretches.append((start, end, [(start - end, pii.KINDS.index(by_name[kind]), kind)]))
+    for start, end, kinds in stretches:
+        out, at = out + text[at:start] + f"<{min(kinds)[2].upper()}>", end
+    return out + text[at:]
+
+
+by_name = {k.name: k for k in pii.KINDS}
+
+
+def test_nothing_of_overlapping_spans_is_left(make_docs):
+    rnd = random.Random(5)
+    parts = ["+33.1.42.68.53.00", "1.2.3.4", ".5", "+49 ", "+", "4111111111111111", "4111 1111-1111 1111", "a@", "b.c", "é", " ", "x"]
+    texts = ["call +33.1.42.68.53.00", "🙂 +33.1.42.68.53.00, a@1.2.3.4", "1.2.3.4-4111111111111111"]
+    texts += ["".join(rnd.choice(parts) for _ in range(rnd.choice([2, 5, 9]))) for _ in range(300)]
+    texts.append("é +33.1.42.68.53.00 z\n" * 1300)
+    found = spans(make_docs(texts))
+    got = {r.doc_id: r.text for r in pii.mask(make_docs(texts)).collect()}
+    assert got[0] == "call <PHONE>" and got[1] == "🙂 <PHONE>, <EMAIL>" and got[2] == "<IP>-<CARD>"
+    assert got[len(texts) - 1] == "é <PHONE> z\n" * 1300
+    want, overlapping = {}, 0
+    for i, text in enumerate(texts):
+        own = sorted((int(a), 0, int(b), k) for k, a, b in (s.split(":") for s in found[i]))
+        overlapping += any(a[2] > b[0] for a, b in zip(own, own[1:]))
+        want[i] = covered(text, own)
+    # What shows only afterwards is masked too.
+    more, left = spans(make_docs(list(want.items()))), spans(make_docs(list(got.items())), kinds=pii.BASE)
+    assert {i: t for i, t in got.items() if not more[i]} == {i: t for i, t in want.items() if not more[i]}
+    assert not any(left.values()) and sum(map(bool, more.values())) < 100
+    assert overlapping > 20
+
+
 def test_many_matches_are_placed_in_stretches(make_docs):
     text = "a@b.cd\n" * 1300
     assert spans(make_docs([text]), kinds=pii.BASE)[0] == brute(text)
