@@ -16,8 +16,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acreage.llm.common import small_batches
@@ -28,13 +29,12 @@ ORDER = 4
 # Labelled texts a language is learned from: about this many whole texts, chosen by a hash of
 # the text; all of them if a language has fewer.
 SAMPLE_PER_LANGUAGE = 600
-# Languages that are learned: those with the most texts.
-MAX_LANGUAGES = 256
-# Pairs of context and byte that reach the driver: the most frequent ones.
-MAX_ENTRIES = 300_000
-# Contexts in the trees, and numbers in the table of code lengths: the bound of what is broadcast.
-MAX_CONTEXTS = 12_288
-MAX_NUMBERS = 16_000_000
+# Languages whose trees are one automaton; more are scored in turn.
+LANGUAGES_AT_ONCE = 4
+# Pairs of context and byte of each language that reach the driver: its most frequent ones.
+ENTRIES = 75_000
+# Contexts of each language in the trees at least, and of an automaton at most: their product.
+CONTEXTS = 3072
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 # Bytes of a stretch that is given to one language.
@@ -103,13 +103,34 @@ class Trees:
         """The language of most of each text, ties to the shorter code of the whole, and the share
         of the text that is in it."""
         bits, of, sizes = self.lengths(texts, STRETCH)
-        count = len(self.languages)
-        shares = np.bincount(of * count + bits.argmin(1), sizes, len(texts) * count).reshape(-1, count)
-        whole = np.stack([np.bincount(of, bits[:, k], len(texts)) for k in range(count)], 1)
-        tied = shares == shares.max(1, keepdims=True)
-        best = np.where(tied, whole, np.inf).argmin(1)
-        chosen = shares[np.arange(len(texts)), best] / np.maximum(shares.sum(1), 1)
-        return [self.languages[b] for b in best.tolist()], chosen.tolist()
+        return vote(self.languages, bits.argmin(1), of, sizes, wholes(bits, of, len(texts)))
+
+
+def wholes(bits: np.ndarray, of: np.ndarray, texts: int) -> np.ndarray:
+    """The code length of each whole text under each language from those of its stretches."""
+    return np.stack([np.bincount(of, column, texts) for column in bits.T], 1)
+
+
+def vote(languages: list[str], best: np.ndarray, of: np.ndarray, sizes: np.ndarray, whole: np.ndarray) -> tuple[list[str], list[float]]:
+    """See ``Trees.decide``; ``best`` is the language of each stretch."""
+    count = len(languages)
+    shares = np.bincount(of * count + best, sizes, len(whole) * count).reshape(-1, count)
+    tied = shares == shares.max(1, keepdims=True)
+    chosen = np.where(tied, whole, np.inf).argmin(1)
+    return [languages[b] for b in chosen.tolist()], (shares[np.arange(len(whole)), chosen] / np.maximum(shares.sum(1), 1)).tolist()
+
+
+@dataclass
+class Portions:
+    """More languages than one automaton holds: their counts, laid out some at a time."""
+
+    languages: list[str]
+    symbols: np.ndarray
+    counts: DataFrame
+
+    def trees(self, first: int) -> Trees:
+        own = self.languages[first : first + LANGUAGES_AT_ONCE]
+        return lay_out(self.counts.where(F.col("lang").isin(own)).toPandas(), own, self.symbols)
 
 
 def sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
@@ -119,10 +140,10 @@ def sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFram
     place to choose among its rows.
     """
     rows = docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).dropna()
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    counts = rows.groupBy("lang").count()
     shares = stored(counts.select("lang", (F.lit(float(per_language)) / F.col("count")).alias("share")))
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    return rows.join(F.broadcast(shares), "lang").where(place < F.col("share")).select("text", "lang")
+    return rows.join(shares, "lang").where(place < F.col("share")).select("text", "lang")
 
 
 def context_counts(texts: DataFrame) -> DataFrame:
@@ -162,22 +183,34 @@ def context_counts(texts: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "size", "entry").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Trees:
+def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Trees | Portions:
     """Trees of the languages in ``lang``; rows without a text or language teach nothing.
 
-    Counts are made and added up in tasks. Those above the smallest count of which no more than
-    MAX_ENTRIES reach the driver are sent to it, which lays out the trees.
+    Counts are made and added up in tasks. Those of each language above the smallest count of
+    which no more than ENTRIES reach the driver are sent to it, which lays out the trees: all of
+    them, or those of LANGUAGES_AT_ONCE at a time when they are needed.
     """
     counts = stored(context_counts(sample(docs, per_language)))
-    rows = counts.where(F.col("n") >= least_count(counts, MAX_ENTRIES)).toPandas()
-    languages = sorted(rows["lang"].unique())
+    rows = counts.join(least_counts(counts, ENTRIES), "lang").where(F.col("n") >= F.col("least")).drop("least")
+    rows = stored(rows)
+    languages = sorted(row["lang"] for row in rows.select("lang").distinct().collect())
+    seen = sorted(row["entry"] for row in rows.where(F.col("size") == 0).select("entry").distinct().collect())
     symbols = np.zeros(256, np.int32)
-    seen = np.sort(rows["entry"][rows["size"] == 0].unique())
     symbols[seen] = np.arange(1, len(seen) + 1)
-    width = len(seen) + 1
-    most = min(MAX_CONTEXTS, MAX_NUMBERS // (width * max(1, len(languages))))
-    totals = rows.assign(context=rows["entry"] // 256).groupby(["size", "context"], as_index=False)["n"].sum()
-    totals = totals.sort_values(["n", "size", "context"], ascending=[False, True, True]).head(most)
+    if len(languages) > LANGUAGES_AT_ONCE:
+        return Portions(languages, symbols, rows)
+    return lay_out(rows.toPandas(), languages, symbols)
+
+
+def lay_out(rows: pd.DataFrame, languages: list[str], symbols: np.ndarray) -> Trees:
+    """The automaton of some languages. Contexts are taken by their rank in the language that has
+    them most often, so each language has its CONTEXTS most frequent ones."""
+    width = int(symbols.max()) + 1
+    totals = rows.assign(context=rows["entry"] // 256).groupby(["lang", "size", "context"], as_index=False)["n"].sum()
+    totals = totals.sort_values(["n", "size", "context"], ascending=[False, True, True])
+    totals["rank"] = totals.groupby("lang").cumcount()
+    totals = totals.groupby(["size", "context"], as_index=False)["rank"].min()
+    totals = totals.sort_values(["rank", "size", "context"]).head(CONTEXTS * LANGUAGES_AT_ONCE)
     nodes = {b"": 0}
     for size, context in zip(*(totals.sort_values(["size", "context"])[c].tolist() for c in ("size", "context"))):
         name = int(context).to_bytes(size, "big")
@@ -204,16 +237,13 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Trees:
     return Trees(languages, symbols, follow, bits)
 
 
-def least_count(counts: DataFrame, most: int) -> int:
-    """The smallest count from which on there are at most ``most`` rows; at most 100,000, where
-    what is left is few."""
-    ceiling = F.least("n", F.lit(100_000)).alias("n")
-    total, least = 0, 1
-    for row in sorted(counts.groupBy(ceiling).agg(F.count("*").alias("rows")).collect(), reverse=True):
-        if total + row["rows"] > most:
-            return row["n"] + 1
-        total, least = total + row["rows"], row["n"]
-    return least
+def least_counts(counts: DataFrame, most: int) -> DataFrame:
+    """``lang`` and ``least``, the smallest count from which on the language has at most ``most``
+    rows; at most 100,000, where what is left is few."""
+    sizes = counts.groupBy("lang", F.least("n", F.lit(100_000)).alias("least")).agg(F.count("*").alias("rows"))
+    down = Window.partitionBy("lang").orderBy(F.desc("least"))
+    reached = sizes.withColumn("total", F.sum("rows").over(down)).where(F.col("total") <= most)
+    return stored(reached.groupBy("lang").agg(F.min("least").alias("least")))
 
 
 def code_lengths(counts: np.ndarray, parent: np.ndarray) -> np.ndarray:
@@ -242,13 +272,73 @@ def code_lengths(counts: np.ndarray, parent: np.ndarray) -> np.ndarray:
     return np.where(np.isnan(out), (escaped + np.log2(left))[:, None], out)
 
 
-def predict(docs: DataFrame, trees: Trees, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def scored_in_turn(rows: DataFrame, portions: Portions, keep: tuple[str, ...]) -> DataFrame:
+    """``predict`` for ``keep`` and ``_text``, some languages after others.
+
+    Between them a row has of each stretch the shortest code so far and its language, and the
+    code length of the whole text under each language.
+    """
+    state = {"_least": pa.list_(pa.float64()), "_best": pa.list_(pa.int32()), "_whole": pa.list_(pa.float64())}
+    spark = rows.sparkSession
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    kinds += ", _least array<double>, _best array<int>, _whole array<double>"
+
+    def after(shared, first: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            trees = shared.value
+            for batch in small_batches(batches, "_text"):
+                texts = batch.column("_text").to_pylist()
+                places = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
+                columns = {c: batch.column(c).to_pylist() if first else [[] for _ in texts] for c in state}
+                if places:
+                    bits, of, _ = trees.lengths([texts[i].encode() for i in places], STRETCH)
+                    cuts = np.searchsorted(of, np.arange(len(places) + 1))
+                    for i, a, b, own in zip(places, cuts, cuts[1:], wholes(bits, of, len(places))):
+                        least, best = bits[a:b].min(1), bits[a:b].argmin(1) + first
+                        if first:
+                            earlier = np.array(columns["_least"][i])
+                            best = np.where(least < earlier, best, columns["_best"][i])
+                            least = np.minimum(least, earlier)
+                        columns["_least"][i], columns["_best"][i] = least.tolist(), best.tolist()
+                        columns["_whole"][i] = [*columns["_whole"][i], *own.tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in (*keep, "_text")), *(pa.array(columns[c], t) for c, t in state.items())],
+                    [*keep, "_text", *state],
+                )
+
+        return run
+
+    for first in range(0, len(portions.languages), LANGUAGES_AT_ONCE):
+        shared = spark.sparkContext.broadcast(portions.trees(first))
+        rows = stored(rows.mapInArrow(after(shared, first), kinds))
+        shared.unpersist()
+    languages = portions.languages
+
+    def end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "_text"):
+            found, scores = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
+            for i, (text, best, whole) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("_text", "_best", "_whole")))):
+                if best:
+                    sizes = np.full(len(best), STRETCH)
+                    sizes[-1] = len(text.encode()) - STRETCH * (len(best) - 1)
+                    (found[i],), (scores[i],) = vote(languages, np.array(best), np.zeros(len(best), np.int64), sizes, np.array([whole]))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in keep), pa.array(found), pa.array(scores)], [*keep, "lang_pred", "score"]
+            )
+
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
+    return rows.mapInArrow(end, f"{kept}, lang_pred string, score double")
+
+
+def predict(docs: DataFrame, trees: Trees | Portions, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep``, ``lang_pred`` and ``score`` for the whole ``text`` of each row.
 
     The score is the share of the text that is in the language. A NULL text, one without a letter,
     and every text if nothing was learned are ``und`` with score 0.
     """
     rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
+    if isinstance(trees, Portions):
+        return scored_in_turn(rows, trees, keep)
     shared = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -85,6 +85,28 @@ def test_nothing_to_learn_and_nothing_to_read(spark, make_docs):
     assert langid.predict(make_docs([]), empty).count() == 0
 
 
+def test_every_language_has_its_own_budget(spark, make_docs, monkeypatch):
+    # 300 languages, each of words of its own; one has a single text beside the others' ten.
+    rnd = np.random.default_rng(9)
+    words = {f"l{k:03}": ["".join(rnd.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(5)] for k in range(300)}
+    rows = [(" ".join(w), lang) for lang, w in words.items() for _ in range(1 if lang == "l299" else 10)]
+    monkeypatch.setattr(langid, "LANGUAGES_AT_ONCE", 60)
+    portions = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(portions.languages) == 300
+    texts = [" ".join(w[::-1]) for w in words.values()] + [None, "12"]
+    found = {r.doc_id: r for r in langid.predict(make_docs(texts), portions).collect()}
+    assert [found[i].lang_pred for i in range(302)] == [*words, "und", "und"]
+
+
+def test_languages_in_turn_are_as_all_at_once(spark, trees, make_docs, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES_AT_ONCE", 1)
+    rows = [(t, lang) for lang, t in TEXTS.items()] * 3
+    portions = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    texts = ["there is the dog", "nicht die katze", None, "", "é", TEXTS["en"] * 9 + TEXTS["de"] * 6, "the " * 500]
+    want = langid.predict(make_docs(texts), trees).orderBy("doc_id").collect()
+    assert langid.predict(make_docs(texts), portions).orderBy("doc_id").collect() == want
+
+
 def test_held_out_accuracy(spark):
     from acreage.llm.queries import op9_language_id
 
