@@ -28,8 +28,11 @@ from acreage.sources.writers import stored
 SHINGLE = 5
 SIMILARITY = 0.8
 # Sketches of a text and shingles of a sketch. Two texts of similarity 0.8 agree on a sketch with
-# a chance of about 0.8**4, so on none of 24 with a chance of about 3 in a million.
+# a chance of about 0.8**4, so on none of 24 with a chance of about 3 in a million; of 9 in a
+# million where they have 25 different shingles together. Below that the chance grows, so texts of
+# fewer shingles than SHORT have as many further sketches of SHORT_SAMPLED: 3 in ten thousand million.
 SKETCHES, SAMPLED = 24, 4
+SHORT, SHORT_SAMPLED = 25, 2
 # Numbers of the table of one text's ranks that are held at a time.
 TABLE = 1 << 20
 # Partners of a text that one task aligns.
@@ -38,6 +41,7 @@ PARTNERS = 256
 BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 400_000, 4096
 
 ODD = np.random.default_rng(8).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) | np.uint64(1)
+SHORT_ODD = np.random.default_rng(9).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) | np.uint64(1)
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -73,11 +77,16 @@ def labelled(words: np.ndarray) -> np.ndarray:
 
 def sketches(shingles: np.ndarray) -> np.ndarray:
     """For each sketch a hash of its sampled shingles in the order of the text."""
-    take = min(SAMPLED, len(shingles))
+    found = sampled(shingles, ODD, SAMPLED)
+    return found if len(shingles) >= SHORT else np.concatenate([found, sampled(shingles, SHORT_ODD, SHORT_SAMPLED)])
+
+
+def sampled(shingles: np.ndarray, odd: np.ndarray, take: int) -> np.ndarray:
+    take = min(take, len(shingles))
     at_once = max(1, TABLE // len(shingles))
     out = []
-    for start in range(0, SKETCHES, at_once):
-        ranks = shingles[None, :] * ODD[start : start + at_once, None]
+    for start in range(0, len(odd), at_once):
+        ranks = shingles[None, :] * odd[start : start + at_once, None]
         if take < len(shingles):
             places = np.sort(np.argpartition(ranks, take - 1, axis=1)[:, :take], axis=1)
         else:

@@ -133,3 +133,15 @@ def test_repeated_rows_and_empty_tables(make_docs):
     )
     rows, stay = om.near_duplicates(make_docs([]))
     assert rows.count() == stay.count() == om.keep_one(make_docs([])).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [(4, 5), (5, 6), (8, 10), (16, 20), (19, 23), (20, 25), (24, 30)])
+def test_short_texts_of_similarity_08_agree_on_a_sketch(sizes):
+    rnd = np.random.default_rng(6)
+    missed = 0
+    for _ in range(3000):
+        text = rnd.integers(1, 1 << 63, sizes[1], dtype=np.uint64)
+        short, long = om.sketches(text[: sizes[0]]), om.sketches(text)
+        both = min(len(short), len(long))
+        missed += not (short[:both] == long[:both]).any()
+    assert missed == 0
