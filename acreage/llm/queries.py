@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import bpe, langid, linededup, ordermin, packing, pii, projections, topk, toxicity, warc
+from acreage.llm import bpe, decontamination, langid, linededup, ordermin, packing, pii, projections, topk, toxicity, warc
 from acreage.llm.common import remainder
 
 TOXICITY_FOLDS, TOXICITY_HELD_OUT = 5, 0
@@ -194,3 +194,46 @@ SELECT * FROM ranked WHERE rank <= 20
 def op10_pivot_distance_search(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 best partners of every twentieth vector."""
     return topk.search(table(spark, folder, "embeddings"))
+
+
+OP11_SQL = r"""
+WITH doc_texts AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), grams AS (
+  SELECT DISTINCT item_id, least(10, len(ws)) AS size, array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') AS gram
+  FROM (SELECT item_id, ws, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i FROM items WHERE len(ws) > 0)
+), sizes AS (SELECT DISTINCT size FROM grams),
+windows AS (
+  SELECT r, i, size, array_to_string(ws[i:i + size - 1], ' ') AS gram
+  FROM (SELECT r, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM doc_texts, sizes WHERE len(ws) >= size)
+), met AS (
+  SELECT DISTINCT r, i, size, item_id FROM windows JOIN grams USING (size, gram)
+), hit AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS p FROM met) GROUP BY r
+), listed AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM met WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_texts LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
+"""
+
+
+@query(OP11_SQL)
+def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The words and items of the benchmark that every document holds."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.find(docs, table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
