@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import bpe, decontamination, langid, linededup, ordermin, packing, pii, projections, topk, toxicity, warc
+from acreage.llm import bpe, decontamination, langid, linededup, ordermin, packing, pii, projections, runs, topk, toxicity, warc
 from acreage.llm.common import remainder
 
 TOXICITY_FOLDS, TOXICITY_HELD_OUT = 5, 0
@@ -237,3 +237,40 @@ def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, where in about a tenth of the texts what follows a certain word
+    repeats with a certain period, both drawn from the id."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    ws = F.filter(F.split("text", r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    drawn = docs.select("doc_id", "text", (h % 10 == 0).alias("chosen"), F.floor(h / 10).alias("g"))
+    drawn = drawn.withColumn("ws", F.when(F.col("chosen"), ws)).withColumn("n", F.size("ws").cast("long"))
+    # Neither words nor places exist where nothing is planted; the conditions keep those from being computed.
+    planted = F.col("chosen") & (F.col("n") > 0)
+    drawn = drawn.withColumn("a", F.when(planted, F.col("g") % F.col("n")))
+    drawn = drawn.withColumn("p", F.when(planted, 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))))
+    order = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")))
+    text = F.array_join(F.transform(order, lambda i: F.get("ws", i.cast("int"))), " ")
+    return drawn.select("doc_id", F.when(planted, text).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The periodic runs of every document, some of which were planted, and digests of what is kept."""
+    found = runs.find(with_planted_runs(table(spark, folder, "documents")))
+    # The greatest length first, of those the smallest start, then the smallest period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    line = lambda r: F.concat(F.concat_ws(",", *[r[n].cast("string") for n in ("start", "length", "period")]), F.lit("\n"))
+    lines = F.array_join(F.transform("runs", line), "")
+    best_length, best_period = best["length"], -best["period"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-best["start"]).alias("start"),
+        best_length.alias("length"),
+        best_period.alias("period"),
+        F.floor(best_length * 1000 / best_period).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
