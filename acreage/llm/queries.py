@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import bpe, decontamination, langid, linededup, ordermin, packing, pii, projections, runs, topk, toxicity, warc
+from acreage.llm import bpe, decontamination, hardneg, langid, linededup, ordermin, packing, pii, projections, runs, topk, toxicity, warc
 from acreage.llm.common import remainder
 
 TOXICITY_FOLDS, TOXICITY_HELD_OUT = 5, 0
@@ -274,3 +274,31 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+OP13_SQL = """
+WITH numbers AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM numbers a JOIN numbers b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), near AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM near JOIN scored USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+@query(OP13_SQL)
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, after some labels were moved."""
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(vectors.select("vec_id", "embedding", moved.alias("label")))

@@ -1,0 +1,105 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from acreage.llm import hardneg
+
+LAYOUT = "vec_id long, embedding array<double>, label int, x int, means string, place int"
+NAN, INF = float("nan"), float("inf")
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, label, 1, "m", 2) for i, v, label in rows], LAYOUT)
+
+
+def brute(rows, every=50, scale=256, positives=5, negatives=3, low=50, high=95):
+    ok = []
+    for i, v, label in rows:
+        if i is not None and label is not None and v is not None and all(c is not None and math.isfinite(c) for c in v):
+            ok.append((i, str(label), [math.floor(c * scale) for c in v]))
+    dim = max((len(v) for *_, v in ok), default=1)
+    ok = [(i, label, v + [0] * (dim - len(v))) for i, label, v in ok]
+    anchors = {}
+    for i, label, v in sorted((r for r in ok if r[0] % every == 0), key=lambda r: (r[1], r[2])):
+        anchors.setdefault(i, (label, v))
+    out = []
+    for i, (label, v) in anchors.items():
+        scored = [(-sum(a * b for a, b in zip(v, w)), j, other) for j, other, w in ok if j != i]
+        same = sorted((s, j) for s, j, other in scored if other == label)[:positives]
+        rest = sorted((s, j) for s, j, other in scored if other != label)
+        for s, j in same:
+            fits = [(n, k) for n, k in rest if low * -s <= 100 * -n <= high * -s][:negatives]
+            out += [(i, j, rank, k, -s, -n) for rank, (n, k) in enumerate(fits, 1)]
+    return Counter(out)
+
+
+def vectors(seed, size, dim, labels=4, spread=0.4):
+    rnd = np.random.default_rng(seed)
+    middles = rnd.normal(size=(6, dim))
+    points = middles[rnd.integers(0, 6, size)] + rnd.normal(size=(size, dim)) * spread
+    points[: size // 3] = points[0] + rnd.normal(size=(size // 3, dim)) * 0.01
+    points[5:40] = points[0]
+    own = np.where(rnd.random(size) < 0.4, 0, rnd.integers(0, labels, size))
+    return [(int(i), [float(c) for c in p], int(n)) for i, (p, n) in enumerate(zip(points, own))]
+
+
+ODD = [(900, None, 1), (950, [1.0, NAN], 1), (1000, [1.0, INF], 1), (1050, [None, 1.0], 1), (None, [1.0, 1.0], 1), (1100, [1.0, 1.0], None),
+       (1150, [], 2), (1200, [3.0], 2), (1250, [0.0, 0.0], 0), (1251, [-1.0, 2.0], 0), (50, [9.0, 9.0], 1), (50, [9.0, 9.0], 1), (7, [2.0], 3)]
+
+
+def mined(df, **how):
+    out = hardneg.mine(df, **how)
+    assert out.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return Counter(map(tuple, out.collect()))
+
+
+@pytest.mark.parametrize("at_once, blocks", [(1024, (32_768, 16_384, 2048)), (16, (60, 5, 10))])
+def test_against_all_pairs(spark, monkeypatch, at_once, blocks):
+    monkeypatch.setattr(hardneg, "AT_ONCE", at_once)
+    for name, value in zip(("BLOCK_ROWS", "BLOCK_ANCHORS", "LEAST_ROWS"), blocks):
+        monkeypatch.setattr(hardneg, name, value)
+    rows = vectors(1, 420, 10) + ODD
+    assert mined(frame(spark, rows), every=25) == brute(rows, every=25)
+
+
+def test_other_numbers_and_long_vectors(spark):
+    rows = vectors(2, 200, 37)
+    how = {"every": 10, "scale": 64, "positives": 2, "negatives": 4, "low": 20, "high": 99}
+    assert mined(frame(spark, rows), **how) == brute(rows, **how) != Counter()
+
+
+def test_scores_beyond_the_exact_range_of_doubles(spark):
+    rnd = np.random.default_rng(4)
+    rows = [(i, [float(c) for c in rnd.integers(1, 1 << 22, 5)], i % 3) for i in range(60)]
+    assert mined(frame(spark, rows), every=10) == brute(rows, every=10)
+
+
+def test_empty_and_hopeless_tables(spark):
+    assert not mined(frame(spark, []).limit(0))
+    assert not mined(frame(spark, [(50, [1.0], 1), (51, [1.0], 2)]))
+    assert not mined(frame(spark, ODD[:6]))
+
+
+def test_bounds_hold_and_get_closer():
+    rnd = np.random.default_rng(7)
+    points = rnd.normal(size=(50, 24)) * 100 + rnd.normal(size=(50, 1)) * 200
+    points = np.floor(points)
+    means, deviations = hardneg.summaries(points, hardneg.SEGMENTS)
+    import pyarrow as pa
+
+    table = pa.table({"vec_id": np.arange(50), "x": points.tolist(), "means": means.tolist(), "deviations": deviations.tolist()})
+    block = hardneg.Block.of(table, np.zeros(50, np.int64), 24)
+    exact, last = points @ points.T, np.inf
+    for m, d in zip(block.means, block.deviations):
+        middle, reach = m @ m.T, d @ d.T
+        assert (np.abs(exact - middle) <= reach + 1e-6).all()
+        assert reach.sum() <= last
+        last = reach.sum()
+
+
+def test_ranges_are_exact():
+    for score in [0, 1, 2, 99, 100, 101, 10**17 + 1, -1, -7, -(10**16)]:
+        low, high = hardneg.ranges(np.array([score]), 50, 95)
+        assert int(low[0]) == -((-50 * score) // 100) and int(high[0]) == 95 * score // 100
