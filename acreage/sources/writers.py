@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acreage.functions.columns import named
-from acreage.session import fresh_path
+from acreage.session import fresh_path, remove_folder
 
 
 def append_batch(df: DataFrame, path: str) -> None:
@@ -51,7 +52,7 @@ def overwrite_snapshot(df: DataFrame, root: str) -> str:
 
     The frame may read the snapshot it replaces, and a reader of that one is not disturbed.
     """
-    taken = [int(name[2:]) for name, _ in _versions(df.sparkSession, root)]
+    taken = [load.number for load in _loads_in(df.sparkSession, root, "v")]
     path = f"{root}/v={max(taken, default=-1) + 1:06d}"
     df.write.parquet(path)
     return path
@@ -59,17 +60,48 @@ def overwrite_snapshot(df: DataFrame, root: str) -> str:
 
 def snapshots(spark: SparkSession, root: str) -> list[str]:
     """Paths of complete snapshots, oldest first; one a failed job left half-written is not."""
-    return [f"{root}/{name}" for name, complete in _versions(spark, root) if complete]
+    return [f"{root}/{load.name}" for load in _loads_in(spark, root, "v") if load.whole]
 
 
-def _versions(spark: SparkSession, root: str) -> list[tuple[str, bool]]:
+@dataclass
+class Load:
+    """What one load wrote: its folder, the numbers in the names of the folders below, and whether
+    it was committed."""
+
+    name: str
+    number: int
+    marks: dict[str, int]
+    whole: bool
+
+
+def _loads_in(spark: SparkSession, root: str, kind: str) -> list[Load]:
+    """The loads under ``root``, in folders named ``kind=number``, in order.
+
+    A load's marks are folders in one another; the success mark lies where its rows begin.
+    """
     require_success_marks(spark)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path(root)):
+    out = []
+    for name in _folders(spark, root):
+        if not name.startswith(f"{kind}="):
+            continue
+        path, marks = f"{root}/{name}", {}
+        while not (whole := path_exists(spark, f"{path}/_SUCCESS")):
+            inner = [n for n in _folders(spark, path) if n.rsplit("=", 1)[1].isdigit()]
+            if len(inner) != 1 or inner[0].startswith("year="):
+                break
+            key, value = inner[0].rsplit("=", 1)
+            marks[key], path = int(value), f"{path}/{inner[0]}"
+        out.append(Load(name, int(name[len(kind) + 1 :]), marks, whole))
+    return out
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
         return []
-    names = sorted(s.getPath().getName() for s in fs.listStatus(path(root)) if s.isDirectory())
-    return [(n, fs.exists(path(f"{root}/{n}/_SUCCESS"))) for n in names if n.startswith("v=")]
+    names = (s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
+    return sorted(n for n in names if "=" in n)
 
 
 def write_partitioned(
@@ -131,53 +163,51 @@ class Lake:
         return path_exists(self.spark, self.path(table))
 
     def read(self, table: str, layout: T.StructType) -> DataFrame:
-        """The table, or no rows if nothing has been written yet."""
-        if not self.exists(table):
+        """The rows of the table's committed batches, or none if nothing has been written yet."""
+        loads = _loads_in(self.spark, self.path(table), "batch")
+        done = [load.number for load in loads if load.whole]
+        if not done:
             return self.spark.createDataFrame([], layout)
-        return self.spark.read.schema(layout).parquet(self.path(table)).select(*layout.names)
+        half = [load.number for load in loads if not load.whole]
+        stored = T.StructType([*layout.fields, T.StructField("batch", T.LongType())])
+        # A batch that is being written while this is planned is beyond the last one.
+        known = (F.col("batch") <= done[-1]) & ~F.col("batch").isin(half)
+        return self.spark.read.schema(stored).parquet(self.path(table)).where(known).select(*layout.names)
 
     def append(
         self, table: str, df: DataFrame, layout: T.StructType, marks: Mapping[str, int] | None = None
     ) -> DataFrame:
-        """Append in the table's layout: columns by name, missing ones NULL.
-
-        Rows go to a folder per batch, and per year where the table has one, so reading the
-        latest batch or some years leaves the other folders alone. A load is one batch, so
-        only years have to be gathered before they are written. ``marks`` are numbers to remember
-        with the batch: they are part of its folder's name, so they are there if its rows are.
+        """Append a batch in the table's layout: columns by name, missing ones NULL.
+
+        A batch is a folder with a success mark of its own: until that is written nothing of the
+        batch is read, whatever a lost driver has moved there, and the next append replaces what
+        is left. ``marks`` are numbers to remember with the batch, such as how far its source was
+        read: they are names of folders around its rows and become columns where the layout has
+        them. They are committed with the rows, and also if there are none. Rows go to a folder
+        per year where the table has one, so reading some batches or years leaves the other
+        folders alone. A table is one writer's at a time.
         """
-        rows, path, marks = fit(df, layout), self.path(table), marks or {}
-        rows = rows.withColumns({name: F.lit(value) for name, value in marks.items()})
-        by = [*(["etl_nr"] if "etl_nr" in layout.names else []), *marks]
+        marks, loads = marks or {}, _loads_in(self.spark, self.path(table), "batch")
+        number = max((load.number for load in loads if load.whole), default=0) + 1
+        for load in loads:
+            if not load.whole and load.number >= number:
+                remove_folder(self.spark, f"{self.path(table)}/{load.name}")
+        path = f"{self.path(table)}/batch={number:06d}" + "".join(f"/{name}={value}" for name, value in marks.items())
+        rows = fit(df, layout).drop(*marks)
         if "year" in layout.names:
-            write_partitioned(rows, path, [*by, "year"], ["investor_company_nm_txt"])
+            write_partitioned(rows, path, ["year"], ["investor_company_nm_txt"])
         else:
-            rows.write.mode("append").partitionBy(*by).parquet(path)
+            rows.write.mode("overwrite").parquet(path)
         return self.read(table, layout)
 
     def marks(self, table: str) -> dict[str, int]:
-        """The numbers in the newest batch's folder name, its own among them; no file is opened."""
-        root = self.path(table)
-        versions = [(name, whole) for name, whole in _versions(self.spark, root) if whole]
-        newest = [name for name, _ in versions] or self._folders(root)
-        for name in sorted(newest, key=lambda n: int(n.rsplit("=", 1)[1]), reverse=True):
-            found, path, inner = {}, root, [name]
-            while inner and inner[0].rsplit("=", 1)[1].isdigit() and not inner[0].startswith("year="):
-                key, value = inner[0].rsplit("=", 1)
-                found[key], path = int(value), f"{path}/{inner[0]}"
-                inner = self._folders(path)
-            if len(found) > 1 or not versions:
-                return found
+        """The numbers of the last committed load, its own among them; no file is opened."""
+        for kind in ("batch", "v"):
+            done = [load for load in _loads_in(self.spark, self.path(table), kind) if load.whole]
+            if done:
+                return ({"v": done[-1].number} if kind == "v" else {}) | done[-1].marks
         return {}
 
-    def _folders(self, path: str) -> list[str]:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        names = (s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
-        return sorted(n for n in names if "=" in n)
-
     def replace(self, table: str, df: DataFrame, layout: T.StructType) -> DataFrame:
         """Write the next snapshot of a table that is rewritten as a whole, and read it."""
         return self.spark.read.schema(layout).parquet(
@@ -204,13 +234,15 @@ class Lake:
         ``df`` holds the rows that were open before, the new ones, and nothing else. Those with
         ``still_open`` replace the open rows, the others join the settled ones, which no load
         reads or writes a second time. The folder's success mark is the commit: a load that
-        failed half-way is not seen, and writes the same folder when it runs again. ``marks`` are
+        failed half-way is not seen, and what it left is replaced when it runs again. ``marks`` are
         numbers to remember with the load, as in ``append``.
         """
         number = self._last(table) + 1
+        folder = f"{self.path(table)}/v={number:06d}"
+        remove_folder(self.spark, folder)
         rows = fit(df, layout).withColumn("open", F.coalesce(still_open, F.lit(False)))
-        rows = rows.withColumns({name: F.lit(value) for name, value in (marks or {}).items()})
-        rows.write.mode("overwrite").partitionBy(*(marks or {}), "open").parquet(f"{self.path(table)}/v={number:06d}")
+        path = folder + "".join(f"/{name}={value}" for name, value in (marks or {}).items())
+        rows.write.mode("overwrite").partitionBy("open").parquet(path)
         return self.state(table, layout)
 
     def state(self, table: str, layout: T.StructType) -> DataFrame:
@@ -226,8 +258,7 @@ class Lake:
         return self._loads(table, layout, (F.col("v") == self._last(table)) & F.col("open"))
 
     def _last(self, table: str) -> int:
-        done = snapshots(self.spark, self.path(table))
-        return int(done[-1].rsplit("v=", 1)[1]) if done else -1
+        return max((load.number for load in _loads_in(self.spark, self.path(table), "v") if load.whole), default=-1)
 
     def _loads(self, table: str, layout: T.StructType, wanted: Column) -> DataFrame:
         if self._last(table) < 0:

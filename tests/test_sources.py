@@ -194,13 +194,16 @@ def test_marks_are_read_from_folder_names(spark, tmp_path):
     lake, layout = Lake(spark, str(tmp_path)), TABLES["bronze.brnz_goog_prop_add_dtl"]
     assert lake.marks("t") == lake.marks("v") == {}
     for n in (9, 10):
-        lake.append("t", spark.createDataFrame([(n,)], "etl_nr bigint"), layout, {"taken_nr": n + 1, "top_nr": n * 7})
+        lake.append("t", spark.createDataFrame([(n,)], "etl_nr bigint"), layout, {"etl_nr": n, "taken_nr": n + 1, "top_nr": n * 7})
         lake.advance("v", spark.createDataFrame([(n,)], "etl_nr bigint"), layout, F.lit(True), {"load_nr": n})
     assert lake.marks("t") == {"etl_nr": 10, "taken_nr": 11, "top_nr": 70}
     assert lake.marks("v") == {"v": 1, "load_nr": 10}
-    # A load that leaves no rows has no folder of its own; the one before still says what it took.
+    # A load without rows says what it took all the same.
     lake.advance("v", spark.createDataFrame([], "etl_nr bigint"), layout, F.lit(True), {"load_nr": 11})
-    assert lake.marks("v") == {"v": 1, "load_nr": 10}
+    assert lake.marks("v") == {"v": 2, "load_nr": 11} and lake.open_rows("v", layout).isEmpty()
+    lake.append("t", spark.createDataFrame([], "etl_nr bigint"), layout, {"etl_nr": 11, "taken_nr": 12, "top_nr": 70})
+    assert lake.marks("t") == {"etl_nr": 11, "taken_nr": 12, "top_nr": 70}
+    assert rows(lake.read("t", layout), "etl_nr") == {(9,): 1, (10,): 1}
     for broken in ("t", "v"):
         for part in (tmp_path / broken).rglob("*.parquet"):
             part.write_text("not a table")
@@ -221,3 +224,26 @@ def test_a_load_that_failed_half_way_is_not_seen(spark, tmp_path):
     again = lake.advance("t", addresses(2, 3, 4), layout, F.col("etl_nr") > 2)
     assert rows(again, "etl_nr") == {(1,): 1, (2,): 1, (3,): 1, (4,): 1}
     assert rows(lake.open_rows("t", layout), "etl_nr") == {(3,): 1, (4,): 1}
+
+
+@pytest.mark.parametrize("left", [0, 1])
+def test_an_append_that_failed_half_way_is_not_seen(spark, tmp_path, left):
+    """Some of a batch's year folders are in place, its success mark is not."""
+    lake, layout = Lake(spark, str(tmp_path)), TABLES["bronze.brnz_prps_prop_sales_dtl"]
+
+    def sales(*years):
+        return spark.createDataFrame([(y, f"I{y}", 5.0) for y in years], "year int, investor_company_nm_txt string, prop_last_sale_amt double")
+
+    lake.append("s.t", sales(1999, 2000), layout, {"etl_nr": 1, "top_nr": 2})
+    lake.append("s.t", sales(2000, 2001, 2002), layout, {"etl_nr": 2, "top_nr": 5})
+    batch = tmp_path / "s" / "t" / "batch=000002" / "etl_nr=2" / "top_nr=5"
+    (batch / "_SUCCESS").unlink()
+    for year in sorted(batch.glob("year=*"))[left:]:
+        for part in year.iterdir():
+            part.unlink()
+        year.rmdir()
+    assert rows(lake.read("s.t", layout), "year", "etl_nr") == {(1999, 1): 1, (2000, 1): 1}
+    assert lake.marks("s.t") == {"etl_nr": 1, "top_nr": 2}
+    again = lake.append("s.t", sales(2001, 2002, 2003), layout, {"etl_nr": 2, "top_nr": 6})
+    assert rows(again, "year", "etl_nr") == {(1999, 1): 1, (2000, 1): 1, (2001, 2): 1, (2002, 2): 1, (2003, 2): 1}
+    assert lake.marks("s.t") == {"etl_nr": 2, "top_nr": 6}
