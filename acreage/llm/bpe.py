@@ -27,45 +27,36 @@ from pyspark.sql import functions as F
 from acreage.llm.common import small_batches
 
 # Words whose encodings a Python worker remembers between batches.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 800_000
+# Characters of text whose words are one trie: the more there are, the more of them share prefixes.
+CHARS_AT_ONCE = 4_000_000
 # A longer text is cut at white space, which no token spans.
 LONG_TEXT = 4_000_000
 
 SPACE, DIGIT, LETTER, OTHER = range(4)
-
-
-def ranges(kind: str) -> str:
-    """The code points whose general category begins with ``kind``, as ranges of a character class."""
-    out, start, end = [], -1, -2
-    for code in range(0x110000):
-        if unicodedata.category(chr(code))[0] != kind:
-            continue
-        if code != end + 1:
-            out.append((start, end))
-            start = code
-        end = code
-    out.append((start, end))
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out[1:])
+# Fixed values of the vocabulary file: what follows an apostrophe in a word of its own.
+CONTRACTIONS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
+# Added to a word's last symbol, which the vocabulary tells from the same symbol elsewhere.
+LAST = 0x1000
 
 
 @lru_cache(maxsize=1)
-def patterns() -> tuple[re.Pattern[str], re.Pattern[str]]:
-    """How a normalised text falls into words, and what keeps a text from being split by bytes."""
-    letters, numbers = ranges("L"), ranges("N")
-    # Fixed values of the vocabulary file: its contractions, and Unicode's white space.
-    contractions = "'s|'t|'re|'ve|'m|'ll|'d"
-    space = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-    words = re.compile(f"{contractions}|[{letters}]+|[{numbers}]|[^{space}{letters}{numbers}]+")
-    return words, re.compile(f"[^\x00-\x26\x28-\x7f{letters}]")
+def code_point_kinds() -> np.ndarray:
+    """The kind of each code point: white space, numbers, letters and anything else."""
+    kinds = np.full(0x110000, OTHER, np.uint8)
+    names = np.array([unicodedata.category(chr(c))[0] for c in range(0x110000)])
+    kinds[names == "L"], kinds[names == "N"] = LETTER, DIGIT
+    # Unicode's white space.
+    kinds[[*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = SPACE
+    return kinds
 
 
 def byte_kinds() -> np.ndarray:
-    """The kind of each byte in a text whose only code points beyond ASCII are letters."""
-    kinds = np.full(256, OTHER, np.uint8)
+    """The kind of each byte of a text in ASCII."""
+    kinds = np.full(128, OTHER, np.uint8)
     kinds[list(b"\t\n\v\f\r ")] = SPACE
     kinds[list(b"0123456789")] = DIGIT
     kinds[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = LETTER
-    kinds[128:] = LETTER
     return kinds
 
 
@@ -100,13 +91,20 @@ class WordBPE:
                 reachable.add(number)
                 self.right[number] += [(b, rank), *self.right[b][1:]]
                 self.left[number] += [(a, rank), *self.left[a][1:]]
-        self.inner, self.final = _suffixes(vocabulary, reachable, self.end)
+        self.token_of = {self._marked(t): n for t, n in vocabulary.items() if n in reachable}
+        self.begun = {t[:n] for t in self.token_of for n in range(len(t) + 1)}
+        # States of the walk: the longest end of a prefix that a token begins with. For each the
+        # states that follow, filled in as they are met, and the tokens that end there, longest first.
+        self.state_of: dict[str, int] = {}
+        self.state_text: list[str] = []
+        self.following: list[dict[str, int]] = []
+        self.ending: list[list[tuple[int, int]]] = []
+        self._state("")
         visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
         hidden = [b for b in range(256) if b not in visible]
         self.shown = {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
         self.known: dict[str, bytes] = {}
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.words, self.uneven = patterns()
         self.kinds = byte_kinds()
         self.spaced = pa.array([t.decode() + " " for t in self.tokens], pa.large_string())
 
@@ -119,51 +117,77 @@ class WordBPE:
                     return False
         return True
 
+    def _marked(self, token: str) -> str:
+        """A token's text, the last symbol of one that ends a word told from others."""
+        if not token.endswith(self.end) or token == self.end:
+            return token
+        text = token.removesuffix(self.end)
+        return text[:-1] + chr(ord(text[-1]) + LAST)
+
+    def _state(self, text: str) -> int:
+        state = self.state_of.get(text)
+        if state is None:
+            state = self.state_of[text] = len(self.state_text)
+            self.state_text.append(text)
+            self.following.append({})
+            ends = ((self.token_of.get(text[cut:]), len(text) - cut) for cut in range(len(text)))
+            self.ending.append([(token, length) for token, length in ends if token is not None])
+        return state
+
+    def _next(self, state: int, symbol: str) -> int:
+        text = self.state_text[state] + symbol
+        while text not in self.begun:
+            text = text[1:]
+        found = self.following[state][symbol] = self._state(text)
+        return found
+
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """The ids of each word, as little-endian unsigned 32-bit integers.
 
         Sorted words are a depth-first walk of their trie: what a word shares with the one before
-        it is on the stack already.
+        it is on the stack already. A word that is a token needs no walk.
         """
-        symbols = sorted((self._symbols(w), w) for w in words)
-        out = {}
-        last, encoded, before = [0], [b""], ""
+        out, symbols = {}, []
+        for text in words:
+            word = self._symbols(text)
+            word = word[:-1] + chr(ord(word[-1]) + LAST)
+            token = self.token_of.get(word)
+            if token is None:
+                symbols.append((word, text))
+            else:
+                out[text] = self.idbytes[token]
+        symbols.sort()
+        following, ending, beside, idbytes = self.following, self.ending, self.beside, self.idbytes
+        # For each prefix on the way to the present word: its state, its last token and its ids.
+        states, last, encoded, before = [0], [0], [b""], ""
         for word, text in symbols:
-            n, shared = len(word), 0
-            most = min(n - 1, len(last) - 1)
+            shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del last[shared + 1 :], encoded[shared + 1 :]
-            for depth in range(shared + 1, n):
-                token, length = self._ending(self.inner, word, depth, last)
+            del states[shared + 1 :], last[shared + 1 :], encoded[shared + 1 :]
+            state, depth = states[shared], shared
+            for symbol in word[shared:]:
+                depth += 1
+                after = following[state].get(symbol)
+                state = self._next(state, symbol) if after is None else after
+                for token, length in ending[state]:
+                    if length == depth:
+                        break
+                    key = last[depth - length] << 20 | token
+                    fits = beside.get(key)
+                    if fits is None:
+                        fits = beside[key] = self._fits(last[depth - length], token)
+                    if fits:
+                        break
+                else:
+                    raise ValueError(f"the vocabulary has no token for a symbol of {text!r}")
+                states.append(state)
                 last.append(token)
-                encoded.append(encoded[depth - length] + self.idbytes[token])
-            token, length = self._ending(self.final, word, n, last)
-            out[text] = encoded[n - length] + self.idbytes[token]
+                encoded.append(encoded[depth - length] + idbytes[token])
+            out[text] = encoded[-1]
             before = word
         return out
 
-    def _ending(self, suffixes: dict[str, int], word: str, depth: int, last: list[int]) -> tuple[int, int]:
-        """The token that the first ``depth`` symbols end in, and its length."""
-        start, found, beside = depth - 1, [], self.beside
-        while start >= 0:
-            token = suffixes.get(word[start:depth])
-            if token is None:
-                break
-            if token >= 0:
-                if not start:
-                    return token, depth
-                found.append((start, token))
-            start -= 1
-        for start, token in reversed(found):
-            key = last[start] << 20 | token
-            fits = beside.get(key)
-            if fits is None:
-                fits = beside[key] = self._fits(last[start], token)
-            if fits:
-                return token, depth - start
-        raise ValueError(f"the vocabulary has no token for {word!r}")
-
     def _symbols(self, word: str) -> str:
         if word.isascii() and word.isprintable() and " " not in word:
             return word
@@ -175,13 +199,9 @@ class WordBPE:
         # Lower case is taken letter by letter: a final sigma is not told from others.
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
-    def even(self, text: str) -> bool:
-        """Whether the kinds of a normalised text's bytes tell its words."""
-        return "'" not in text and (text.isascii() or not self.uneven.search(text))
-
-    def pieces(self, text: str) -> Iterator[list[str] | bytes]:
-        """Words of bounded stretches of a text, and the ids of special tokens between them."""
-        for part in self.special_pattern.split(text):
+    def parts(self, text: str) -> Iterator[str | bytes]:
+        """Normalised stretches of bounded length of a text, and the ids of special tokens between them."""
+        for part in self.special_pattern.split(text) if "<|" in text else [text]:
             if part in self.special:
                 yield self.idbytes[self.special[part]]
                 continue
@@ -190,9 +210,9 @@ class WordBPE:
                 cut = max(part.rfind(" ", start, start + LONG_TEXT), part.rfind("\n", start, start + LONG_TEXT))
                 if cut <= start:
                     break
-                yield self.words.findall(self.normalised(part[start:cut]))
+                yield self.normalised(part[start:cut])
                 start = cut
-            yield self.words.findall(self.normalised(part[start:]))
+            yield self.normalised(part[start:])
 
     def ids_of(self, words: list[str]) -> list[bytes]:
         """The ids of words, most of which have been met before."""
@@ -201,46 +221,57 @@ class WordBPE:
         if not fresh:
             return ids
         if len(self.known) > REMEMBERED_WORDS:
-            self.known = {}
-            fresh = set(words)
+            # What this batch has met again is likely to be met once more.
+            self.known = {w: known for w, known in zip(words, ids) if known is not None}
         self.known.update(self.encode_words(fresh))
         return list(map(self.known.__getitem__, words))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; nothing for NULL."""
-        out = [b""] * len(texts)
-        even, places = [], []
+        plain: list[tuple[list[str], list[tuple[int, int]]]] = [([], []), ([], [])]
+        out: list[list[bytes]] = [[] for _ in texts]
         for place, text in enumerate(texts):
-            if not text:
-                continue
-            if "<|" not in text and len(text) <= LONG_TEXT and self.even(plain := self.normalised(text)):
-                even.append(plain)
-                places.append(place)
-            else:
-                parts = list(self.pieces(text))
-                out[place] = b"".join([p if isinstance(p, bytes) else b"".join(self.ids_of(p)) for p in parts])
-        for place, ids in zip(places, self.encode_even(even)):
-            out[place] = ids
-        return out
-
-    def encode_even(self, texts: list[str]) -> list[bytes]:
-        """The same for normalised texts whose words end where the kind of byte changes.
-
-        All texts are cut into words at once, each distinct word is encoded once, and the ids are
-        laid out by index.
+            for part in self.parts(text) if text else ():
+                if isinstance(part, str):
+                    # ASCII is told apart by byte, anything else by code point.
+                    parts, places = plain[not part.isascii()]
+                    parts.append(part)
+                    places.append((place, len(out[place])))
+                    part = b""
+                out[place].append(part)
+        for (parts, places), by_byte in zip(plain, (True, False)):
+            for (place, at), ids in zip(places, self.encode_plain(parts, by_byte)):
+                out[place][at] = ids
+        return [b"".join(ids) for ids in out]
+
+    def encode_plain(self, texts: list[str], by_byte: bool) -> list[bytes]:
+        """The same for normalised texts without special tokens.
+
+        All texts are cut into words at once, where the kind of what they consist of changes; each
+        distinct word is encoded once, and the ids are laid out by index.
         """
         if not texts:
             return []
-        column = pa.array(texts, pa.string())
+        column = pa.array(texts, pa.large_string())
         _, offsets, content = column.buffers()
-        ends = np.frombuffer(offsets, np.int32)[: len(texts) + 1]
-        kinds = self.kinds[np.frombuffer(content, np.uint8)[: ends[-1]]]
-        begins = np.empty(len(kinds), bool)
-        begins[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)
-        begins[ends[:-1]] = True
-        starts = np.flatnonzero(begins)
-        cuts = np.append(starts, len(kinds)).astype(np.int32)
-        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(cuts), content).dictionary_encode()
+        ends = np.frombuffer(offsets, np.int64)[: len(texts) + 1]
+        if not ends[-1]:
+            return [b""] * len(texts)
+        raw = np.frombuffer(content, np.uint8)[: ends[-1]]
+        if by_byte:
+            kinds, firsts, text_begins = self.kinds[raw], None, ends
+        else:
+            kinds = code_point_kinds()[np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")]
+            firsts = np.append(np.flatnonzero(raw & 0xC0 != 0x80), len(raw))
+            text_begins = np.searchsorted(firsts, ends)
+        begins = np.empty(len(kinds) + 1, bool)
+        begins[1:-1] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)
+        begins[text_begins] = True
+        self._contractions(raw, firsts, begins, text_begins)
+        starts = np.flatnonzero(begins[:-1])
+        cuts = np.append(starts, len(kinds))
+        cuts = cuts if firsts is None else firsts[cuts]
+        words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(cuts.astype(np.int64)), content).dictionary_encode()
         codes = words.indices.to_numpy()
         distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         blank = np.zeros(len(distinct), bool)
@@ -253,9 +284,30 @@ class WordBPE:
         laid = np.concatenate([[0], np.cumsum(each)])
         at = np.repeat((np.cumsum(sizes) - sizes)[codes] - laid[:-1], each) + np.arange(laid[-1])
         ids = flat[at].tobytes()
-        bounds = (laid[np.searchsorted(starts, ends)] * 4).tolist()
+        bounds = (laid[np.searchsorted(starts, text_begins)] * 4).tolist()
         return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
+    def _contractions(self, raw: np.ndarray, firsts: np.ndarray | None, begins: np.ndarray, text_begins: np.ndarray) -> None:
+        """Join an apostrophe that begins a word with what makes a contraction of it. What follows
+        the contraction is a new word."""
+        quotes = np.flatnonzero(raw == 39)
+        if firsts is not None:
+            quotes = np.searchsorted(firsts, quotes)
+        quotes = quotes[begins[quotes]]
+        if not len(quotes):
+            return
+        at = (lambda i: raw[i]) if firsts is None else (lambda i: raw[firsts[i]])
+        # Where the text of each quote ends.
+        end = text_begins[np.searchsorted(text_begins, quotes, "right")]
+        taken = np.zeros(len(quotes), bool)
+        for letters in CONTRACTIONS:
+            fits = ~taken & (quotes + len(letters) < end)
+            for i, letter in enumerate(letters, 1):
+                fits &= at(np.minimum(quotes + i, end - 1)) == letter
+            taken |= fits
+            begins[quotes[fits] + 1] = False
+            begins[quotes[fits] + 1 + len(letters)] = True
+
     def decode(self, ids: list[bytes | None]) -> list[str]:
         """The tokens of each row's ids with a blank between them, as the vocabulary file has no
         decoder; empty for NULL."""
@@ -269,21 +321,6 @@ class WordBPE:
         return [str(view[a : max(a, b - 1)], "utf-8") for a, b in zip(bounds, bounds[1:])]
 
 
-def _suffixes(vocabulary: dict[str, int], reachable: set[int], end: str) -> tuple[dict[str, int], dict[str, int]]:
-    """Tokens inside words and tokens that end words, by text; -1 for what only ends such a text."""
-    tables: tuple[dict[str, int], dict[str, int]] = ({}, {})
-    for token, number in vocabulary.items():
-        if number not in reachable:
-            continue
-        ends = token.endswith(end) and token != end
-        text = token.removesuffix(end) if ends else token
-        table = tables[ends]
-        table[text] = number
-        for cut in range(1, len(text)):
-            table.setdefault(text[cut:], -1)
-    return tables
-
-
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> WordBPE:
     """The vocabulary, read once in each Python worker."""
@@ -303,7 +340,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
-        for batch in small_batches(batches, "_text"):
+        for batch in small_batches(batches, "_text", CHARS_AT_ONCE):
             ids = bpe.encode(batch.column("_text").to_pylist())
             columns = [*(batch.column(c) for c in keep), pa.array(ids, pa.binary())]
             if decoded:

@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 CHARS_AT_ONCE = 1_000_000
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about CHARS_AT_ONCE of text, or one longer row."""
+def small_batches(
+    batches: Iterator[pa.RecordBatch], text: str = "text", chars: int = CHARS_AT_ONCE
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about ``chars`` of text, or one longer row."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start = held = 0
         for row, size in enumerate(sizes):
-            if held and held + size > CHARS_AT_ONCE:
+            if held and held + size > chars:
                 yield batch.slice(start, row - start)
                 start, held = row, 0
             held += size

@@ -21,6 +21,7 @@ POOLS = [
 ]
 ODD = [
     None, "", " ", "\n\n", "a", "A" * 5000, "word " * 3000, "<|endoftext|>", "x<|startoftext|>y <|endoftext|>", "<|endoftext",
+    "'s", "'", "a's", "''s", "'s's", "'rest'll'd've", "x'", "1's2't", "é's", "’s it’s — “don't” …", "'l", "'r e", "'re", "d'être l'été",
     "1234567890" * 50, "'" * 40, "don't", "DON'T", "﻿", "İstanbul",
 ]
 
@@ -44,6 +45,13 @@ def test_ids_and_decoded_text_are_the_librarys(spark, make_docs, reference):
         assert row.decoded == reference.decode(want, skip_special_tokens=False)
 
 
+def test_neighbouring_texts_do_not_touch(reference):
+    """A text may end in an apostrophe and the next begin with what would make a contraction."""
+    own = bpe.WordBPE(PATH)
+    for texts in (["it'", "s", "'", "re", "l", "l", "'v", "e"], ["é'", "s", "’", "s'", "ll", "é"], ["1", "2", "", "a", "b"]):
+        assert [ids_of(i) for i in own.encode(texts)] == [reference.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_decode_is_an_operator_of_its_own(make_docs, reference):
     encoded = bpe.encode(make_docs(["some words", None]), PATH)
     found = {r.doc_id: r.decoded for r in bpe.decode(encoded, PATH).collect()}
