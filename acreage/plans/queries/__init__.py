@@ -4,6 +4,7 @@ from acreage.plans.queries import (  # noqa: F401
     batches,
     chain,
     checks,
+    commits,
     conforming,
     ingest,
     loads,
