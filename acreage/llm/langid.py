@@ -18,10 +18,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acreage.llm.common import small_batches
+from acreage.llm.common import CHARS_AT_ONCE, small_batches
 from acreage.sources.writers import stored
 
 # Longest context in bytes.
@@ -29,14 +29,18 @@ ORDER = 4
 # Labelled texts a language is learned from: about this many whole texts, chosen by a hash of
 # the text; all of them if a language has fewer.
 SAMPLE_PER_LANGUAGE = 600
-# Languages whose trees are one automaton; more are scored in turn.
+# Languages whose trees are one automaton; more are several of those, and a task holds one at a time.
 LANGUAGES_AT_ONCE = 4
 # Pairs of context and byte of each language that reach the driver: its most frequent ones.
 ENTRIES = 75_000
-# Contexts of each language in the trees at least, and of an automaton at most: their product.
-CONTEXTS = 3072
+# Counts from here on are one class; classes that have to be cut are cut by a hash into so many buckets.
+HIGHEST_CLASS, BUCKETS = 100_000, 1024
+# Contexts of each language in its tree: its most frequent ones, whatever languages are beside it.
+CONTEXTS = 4096
+# Characters of text that are scored by one automaton after another before the next are read.
+CHARS_IN_TURN = 8_000_000
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = re.compile("[A-Za-z]")
 # Bytes of a stretch that is given to one language.
 STRETCH = 192
 # Bytes a column of the scoring table reads one after another.
@@ -132,6 +136,16 @@ class Portions:
         own = self.languages[first : first + LANGUAGES_AT_ONCE]
         return lay_out(self.counts.where(F.col("lang").isin(own)).toPandas(), own, self.symbols)
 
+    def shared(self) -> list:
+        """One automaton after the other, sent to the executors."""
+        context = self.counts.sparkSession.sparkContext
+        return [context.broadcast(self.trees(n)) for n in range(0, len(self.languages), LANGUAGES_AT_ONCE)]
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether there is a character of Unicode's category L: no digit, fraction or Roman numeral."""
+    return bool(text) and (bool(LETTER.search(text)) or (not text.isascii() and any(map(str.isalpha, text))))
+
 
 def sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     """``text`` and ``lang`` of the labelled rows to learn from.
@@ -186,13 +200,12 @@ def context_counts(texts: DataFrame) -> DataFrame:
 def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Trees | Portions:
     """Trees of the languages in ``lang``; rows without a text or language teach nothing.
 
-    Counts are made and added up in tasks. Those of each language above the smallest count of
-    which no more than ENTRIES reach the driver are sent to it, which lays out the trees: all of
-    them, or those of LANGUAGES_AT_ONCE at a time when they are needed.
+    Counts are made and added up in tasks. The ENTRIES most frequent ones of each language are
+    sent to the driver, which lays out the trees: all of them, or those of LANGUAGES_AT_ONCE at a
+    time when they are needed.
     """
     counts = stored(context_counts(sample(docs, per_language)))
-    rows = counts.join(least_counts(counts, ENTRIES), "lang").where(F.col("n") >= F.col("least")).drop("least")
-    rows = stored(rows)
+    rows = stored(most_frequent(counts, ENTRIES))
     languages = sorted(row["lang"] for row in rows.select("lang").distinct().collect())
     seen = sorted(row["entry"] for row in rows.where(F.col("size") == 0).select("entry").distinct().collect())
     symbols = np.zeros(256, np.int32)
@@ -203,19 +216,19 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Trees | P
 
 
 def lay_out(rows: pd.DataFrame, languages: list[str], symbols: np.ndarray) -> Trees:
-    """The automaton of some languages. Contexts are taken by their rank in the language that has
-    them most often, so each language has its CONTEXTS most frequent ones."""
+    """The automaton of some languages. Each has its own CONTEXTS most frequent contexts and says
+    nothing of others', so its code lengths do not depend on the languages beside it."""
     width = int(symbols.max()) + 1
     totals = rows.assign(context=rows["entry"] // 256).groupby(["lang", "size", "context"], as_index=False)["n"].sum()
     totals = totals.sort_values(["n", "size", "context"], ascending=[False, True, True])
-    totals["rank"] = totals.groupby("lang").cumcount()
-    totals = totals.groupby(["size", "context"], as_index=False)["rank"].min()
-    totals = totals.sort_values(["rank", "size", "context"]).head(CONTEXTS * LANGUAGES_AT_ONCE)
-    nodes = {b"": 0}
-    for size, context in zip(*(totals.sort_values(["size", "context"])[c].tolist() for c in ("size", "context"))):
-        name = int(context).to_bytes(size, "big")
-        if size and name[:-1] in nodes and name[1:] in nodes:
-            nodes[name] = len(nodes)
+    own_nodes: dict[str, set[bytes]] = {language: {b""} for language in languages}
+    for language, own in totals.groupby("lang"):
+        best, known = own.head(CONTEXTS).sort_values(["size", "context"]), own_nodes[language]
+        for size, context in zip(best["size"].tolist(), best["context"].tolist()):
+            name = int(context).to_bytes(size, "big")
+            if size and name[:-1] in known and name[1:] in known:
+                known.add(name)
+    nodes = {name: number for number, name in enumerate(sorted(set().union(*own_nodes.values(), {b""}), key=lambda n: (len(n), n)))}
     parent = np.array([nodes[name[1:]] if name else -1 for name in nodes])
     follow = np.zeros((len(nodes), width), np.int32)
     for size in range(ORDER + 1):
@@ -229,7 +242,7 @@ def lay_out(rows: pd.DataFrame, languages: list[str], symbols: np.ndarray) -> Tr
     for number, language in enumerate(languages):
         own = rows[rows["lang"] == language]
         names = [int(e >> 8).to_bytes(s, "big") for e, s in zip(own["entry"].tolist(), own["size"].tolist())]
-        known = np.array([nodes.get(n, -1) for n in names])
+        known = np.array([nodes[n] if n in own_nodes[language] else -1 for n in names])
         held = known >= 0
         table = np.zeros((len(nodes) + 1, width))
         table[known[held], symbols[own["entry"].to_numpy()[held] & 255]] = own["n"].to_numpy()[held]
@@ -237,13 +250,37 @@ def lay_out(rows: pd.DataFrame, languages: list[str], symbols: np.ndarray) -> Tr
     return Trees(languages, symbols, follow, bits)
 
 
-def least_counts(counts: DataFrame, most: int) -> DataFrame:
-    """``lang`` and ``least``, the smallest count from which on the language has at most ``most``
-    rows; at most 100,000, where what is left is few."""
-    sizes = counts.groupBy("lang", F.least("n", F.lit(100_000)).alias("least")).agg(F.count("*").alias("rows"))
-    down = Window.partitionBy("lang").orderBy(F.desc("least"))
-    reached = sizes.withColumn("total", F.sum("rows").over(down)).where(F.col("total") <= most)
-    return stored(reached.groupBy("lang").agg(F.min("least").alias("least")))
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """Of each language the ``most`` rows with the highest counts, exactly, ties by a hash.
+
+    No language is sorted in one task: classes of equal counts are taken whole as long as they
+    fit, the class that has to be cut is taken by buckets, and only rows of the bucket that has to be cut
+    are put in order.
+    """
+    keyed = counts.withColumns(
+        {"_class": F.least("n", F.lit(HIGHEST_CLASS)), "_bucket": F.pmod(F.xxhash64("size", "entry"), F.lit(BUCKETS))}
+    )
+
+    def reached(rows: DataFrame, by: str, first: Column, left: Column) -> DataFrame:
+        """Groups that fit at least in part into what is left of a language, in order, with how
+        many of their rows do."""
+        sizes = rows.groupBy("lang", by).agg(F.count("*").alias("_rows"), F.max(left).alias("_left"))
+        before = F.sum("_rows").over(Window.partitionBy("lang").orderBy(first)) - F.col("_rows")
+        sizes = sizes.withColumn("_left", F.col("_left") - before).where(F.col("_left") > 0)
+        return stored(sizes.withColumn("_whole", F.col("_rows") <= F.col("_left")))
+
+    def split(rows: DataFrame, groups: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
+        met = rows.join(groups.select("lang", by, "_left", "_whole"), ["lang", by])
+        return met.where("_whole").select(*rows.columns), met.where("not _whole").drop("_whole")
+
+    classes = reached(keyed, "_class", F.desc("_class"), F.lit(most))
+    whole, cut = split(keyed, classes, "_class")
+    cut = stored(cut)
+    buckets = reached(cut, "_bucket", F.asc("_bucket"), F.col("_left"))
+    more, rest = split(cut.drop("_left"), buckets, "_bucket")
+    order = Window.partitionBy("lang").orderBy("size", "entry")
+    rest = rest.withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= F.col("_left"))
+    return whole.unionByName(more).unionByName(rest.select(*keyed.columns)).select(*counts.columns)
 
 
 def code_lengths(counts: np.ndarray, parent: np.ndarray) -> np.ndarray:
@@ -272,62 +309,22 @@ def code_lengths(counts: np.ndarray, parent: np.ndarray) -> np.ndarray:
     return np.where(np.isnan(out), (escaped + np.log2(left))[:, None], out)
 
 
-def scored_in_turn(rows: DataFrame, portions: Portions, keep: tuple[str, ...]) -> DataFrame:
-    """``predict`` for ``keep`` and ``_text``, some languages after others.
-
-    Between them a row has of each stretch the shortest code so far and its language, and the
-    code length of the whole text under each language.
-    """
-    state = {"_least": pa.list_(pa.float64()), "_best": pa.list_(pa.int32()), "_whole": pa.list_(pa.float64())}
-    spark = rows.sparkSession
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    kinds += ", _least array<double>, _best array<int>, _whole array<double>"
-
-    def after(shared, first: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            trees = shared.value
-            for batch in small_batches(batches, "_text"):
-                texts = batch.column("_text").to_pylist()
-                places = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
-                columns = {c: batch.column(c).to_pylist() if first else [[] for _ in texts] for c in state}
-                if places:
-                    bits, of, _ = trees.lengths([texts[i].encode() for i in places], STRETCH)
-                    cuts = np.searchsorted(of, np.arange(len(places) + 1))
-                    for i, a, b, own in zip(places, cuts, cuts[1:], wholes(bits, of, len(places))):
-                        least, best = bits[a:b].min(1), bits[a:b].argmin(1) + first
-                        if first:
-                            earlier = np.array(columns["_least"][i])
-                            best = np.where(least < earlier, best, columns["_best"][i])
-                            least = np.minimum(least, earlier)
-                        columns["_least"][i], columns["_best"][i] = least.tolist(), best.tolist()
-                        columns["_whole"][i] = [*columns["_whole"][i], *own.tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in (*keep, "_text")), *(pa.array(columns[c], t) for c, t in state.items())],
-                    [*keep, "_text", *state],
-                )
-
-        return run
-
-    for first in range(0, len(portions.languages), LANGUAGES_AT_ONCE):
-        shared = spark.sparkContext.broadcast(portions.trees(first))
-        rows = stored(rows.mapInArrow(after(shared, first), kinds))
-        shared.unpersist()
-    languages = portions.languages
-
-    def end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "_text"):
-            found, scores = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
-            for i, (text, best, whole) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("_text", "_best", "_whole")))):
-                if best:
-                    sizes = np.full(len(best), STRETCH)
-                    sizes[-1] = len(text.encode()) - STRETCH * (len(best) - 1)
-                    (found[i],), (scores[i],) = vote(languages, np.array(best), np.zeros(len(best), np.int64), sizes, np.array([whole]))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(found), pa.array(scores)], [*keep, "lang_pred", "score"]
-            )
-
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
-    return rows.mapInArrow(end, f"{kept}, lang_pred string, score double")
+def decide_in_turn(shared: list, languages: list[str], texts: list[bytes]) -> tuple[list[str], list[float]]:
+    """``Trees.decide`` for languages of several automata, one of which is held at a time."""
+    least = best = of = sizes = None
+    whole, first = [], 0
+    for one in shared:
+        # Read from the executor's copy each time: a value that is asked for stays in memory.
+        trees = one.load_from_path(one._path) if len(shared) > 1 else one.value
+        bits, of, sizes = trees.lengths(texts, STRETCH)
+        whole.append(wholes(bits, of, len(texts)))
+        shortest, found = bits.min(1), bits.argmin(1) + first
+        first += len(trees.languages)
+        if least is None:
+            least, best = shortest, found
+        else:
+            best, least = np.where(shortest < least, found, best), np.minimum(least, shortest)
+    return vote(languages, best, of, sizes, np.concatenate(whole, 1))
 
 
 def predict(docs: DataFrame, trees: Trees | Portions, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -337,21 +334,23 @@ def predict(docs: DataFrame, trees: Trees | Portions, keep: tuple[str, ...] = ("
     and every text if nothing was learned are ``und`` with score 0.
     """
     rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
-    if isinstance(trees, Portions):
-        return scored_in_turn(rows, trees, keep)
-    shared = docs.sparkSession.sparkContext.broadcast(trees)
+    languages, in_turn = trees.languages, isinstance(trees, Portions)
+    shared = trees.shared() if in_turn else [docs.sparkSession.sparkContext.broadcast(trees)]
+    chars = CHARS_IN_TURN if in_turn else CHARS_AT_ONCE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in small_batches(batches, "_text"):
+        for batch in small_batches(batches, "_text", chars):
             texts = batch.column("_text").to_pylist()
             found, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            places = [i for i, t in enumerate(texts) if t and model.languages and LETTER.search(t)]
+            places = [i for i, t in enumerate(texts) if languages and has_letter(t)]
             if places:
-                for i, lang, share in zip(places, *model.decide([texts[i].encode() for i in places])):
+                read = [texts[i].encode() for i in places]
+                answers = decide_in_turn(shared, languages, read) if in_turn else shared[0].value.decide(read)
+                for i, lang, share in zip(places, *answers):
                     found[i], scores[i] = lang, share
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(found), pa.array(scores)], [*keep, "lang_pred", "score"]
+                [*(batch.column(c) for c in keep), pa.array(found, pa.string()), pa.array(scores, pa.float64())],
+                [*keep, "lang_pred", "score"],
             )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])

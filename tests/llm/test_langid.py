@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from acreage.llm import langid
 
@@ -79,6 +80,42 @@ def test_predictions_and_what_is_rejected(trees, make_docs):
     assert rows[5].lang_pred != "und" and rows[2].score == 0 and all(0 <= r.score <= 1 for r in rows.values())
 
 
+def test_letters_are_those_of_category_l(trees, make_docs):
+    texts = ["½ ①②", "Ⅷ", "²³", "٣٤", "½ a", "ß", "日本", "ʰ", "_", "\u0301"]
+    found = {r.doc_id: r.lang_pred for r in langid.predict(make_docs(texts), trees).collect()}
+    assert [found[i] != "und" for i in range(10)] == [False, False, False, False, True, True, True, True, False, False]
+
+
+@pytest.mark.parametrize("most", [1, 10, 75_000, 80_009, 80_010, 90_000])
+def test_the_most_frequent_entries_exactly(spark, most):
+    """A class of equal counts that is larger than what is left is cut, not left out; a count beyond
+    the highest class does not make a language vanish."""
+    rows = spark.range(80_010).select(
+        F.lit("a").alias("lang"), F.lit(3).alias("size"), F.col("id").alias("entry"),
+        F.when(F.col("id") < 5, 300_000).when(F.col("id") < 10, 2).otherwise(1).cast("long").alias("n"),
+    )
+    rows = rows.unionByName(spark.createDataFrame([("b", 1, 7, 1)], rows.schema))
+    got = langid.most_frequent(rows, most)
+    assert got.columns == rows.columns
+    by = {r["lang"]: r for r in got.groupBy("lang").agg(F.count("*").alias("rows"), F.count_distinct("entry").alias("d"), F.sum("n").alias("n")).collect()}
+    own = min(most, 80_010)
+    assert by["a"]["rows"] == by["a"]["d"] == own and by["b"]["rows"] == 1
+    assert by["a"]["n"] == 300_000 * min(own, 5) + 2 * max(0, min(own, 10) - 5) + max(0, own - 10)
+
+
+def test_a_language_costs_the_same_beside_any_others(spark, monkeypatch):
+    rnd = np.random.default_rng(11)
+    rows = [(" ".join("".join(rnd.choice(list("abcdefgh"), 5)) for _ in range(400)), lang) for lang in "abcde"]
+    monkeypatch.setattr(langid, "CONTEXTS", 60)
+    texts = [b"abc def gha", rows[0][0].encode()]
+    together = langid.train(spark.createDataFrame(rows[:4], "text string, lang string"))
+    symbols = together.symbols
+    for number in range(4):
+        alone = langid.train(spark.createDataFrame([rows[number]], "text string, lang string"))
+        assert (alone.symbols > 0).sum() == (symbols > 0).sum()
+        assert np.allclose(alone.lengths(texts)[0][:, 0], together.lengths(texts)[0][:, number])
+
+
 def test_nothing_to_learn_and_nothing_to_read(spark, make_docs):
     empty = langid.train(make_docs([]))
     assert [r.lang_pred for r in langid.predict(make_docs(["words"]), empty).collect()] == ["und"]

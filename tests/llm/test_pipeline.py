@@ -37,7 +37,8 @@ def test_query_equals_sql(spark, con, folder, name):
 def test_stages(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     extra = spark.createDataFrame(
-        [(90001, None, "en", "s", 0), (90002, "", "en", "s", 0), (90003, "12 34", None, "s", 5), (None, "le chat et la souris dans la maison", "fr", None, None)],
+        [(90001, None, "en", "s", 0), (90002, "", "en", "s", 0), (90003, "12 34", None, "s", 5), (None, "le chat et la souris dans la maison", "fr", None, None),
+         (90004, docs.where("lang = 'en' and length(text) between 500 and 3000").orderBy("doc_id").first().text + " mine", None, "s", 1)],
         docs.schema,
     )
     now = docs.unionByName(extra)
@@ -55,6 +56,8 @@ def test_stages(spark, folder, tmp_path):
     texts = lambda df: {r.doc_id: r.text for r in df.collect()}
     before, after = results["language ID"]
     assert set(ids(before)) - set(ids(after)) == {90001, 90002, 90003} and None in ids(after)
+    langs = lambda df: {r.doc_id: r.lang for r in df.collect()}
+    assert langs(after) == {i: lang or "en" for i, lang in langs(before).items() if i in langs(after)} and langs(before)[90004] is None
     before, after = results["line dedup"]
     assert texts(after) == texts(linededup.drop_common_lines(before)) and ids(before) == ids(after)
     before, after = results["near dedup"]
