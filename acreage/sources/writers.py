@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acreage.functions.columns import named
+from acreage.operators.keyfilter import FILTER, key_filter, may_hold
 from acreage.session import fresh_path, remove_folder
 
 
@@ -162,8 +163,13 @@ class Lake:
     def exists(self, table: str) -> bool:
         return path_exists(self.spark, self.path(table))
 
-    def read(self, table: str, layout: T.StructType) -> DataFrame:
-        """The rows of the table's committed batches, or none if nothing has been written yet."""
+    def batches(self, table: str) -> list[int]:
+        """The numbers of the table's committed batches."""
+        return [load.number for load in _loads_in(self.spark, self.path(table), "batch") if load.whole]
+
+    def read(self, table: str, layout: T.StructType, only: Sequence[int] | None = None) -> DataFrame:
+        """The rows of the table's committed batches, or none if nothing has been written yet.
+        With ``only`` those of some batches; the folders of others are not opened."""
         loads = _loads_in(self.spark, self.path(table), "batch")
         done = [load.number for load in loads if load.whole]
         if not done:
@@ -172,8 +178,28 @@ class Lake:
         stored = T.StructType([*layout.fields, T.StructField("batch", T.LongType())])
         # A batch that is being written while this is planned is beyond the last one.
         known = (F.col("batch") <= done[-1]) & ~F.col("batch").isin(half)
+        if only is not None:
+            known &= F.col("batch").isin(list(only))
         return self.spark.read.schema(stored).parquet(self.path(table)).where(known).select(*layout.names)
 
+    def keep_filter(self, table: str, rows: DataFrame, keys: Sequence[str], count: int) -> None:
+        """Keep a filter of the keys of the table's last batch beside it: about ``count`` keys."""
+        number = self.batches(table)[-1]
+        self.append(f"{table}_keys", key_filter(rows, keys, number, count), FILTER, {"of": number})
+
+    def rows_that_may_hold(self, table: str, layout: T.StructType, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The table's rows, without the batches that hold no key of ``rows`` according to the
+        filters kept beside them. A batch whose filter was never written counts as one that may."""
+        done = self.batches(table)
+        if not done:
+            return self.read(table, layout)
+        filters = self.read(f"{table}_keys", FILTER)
+        filtered = {row["of"] for row in filters.select("of").distinct().collect()} if self.exists(f"{table}_keys") else set()
+        # As many rows as there are batches.
+        hit = {row["of"] for row in may_hold(filters, rows, keys).collect()} if filtered else set()
+        empty = {load.marks["of"] for load in _loads_in(self.spark, self.path(f"{table}_keys"), "batch") if load.whole} - filtered
+        return self.read(table, layout, [n for n in done if n in hit or n not in filtered | empty])
+
     def append(
         self, table: str, df: DataFrame, layout: T.StructType, marks: Mapping[str, int] | None = None
     ) -> DataFrame:
