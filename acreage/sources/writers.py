@@ -201,7 +201,12 @@ class Lake:
         return self.read(table, layout, [n for n in done if n in hit or n not in filtered | empty])
 
     def append(
-        self, table: str, df: DataFrame, layout: T.StructType, marks: Mapping[str, int] | None = None
+        self,
+        table: str,
+        df: DataFrame,
+        layout: T.StructType,
+        marks: Mapping[str, int] | None = None,
+        by: Sequence[str] = (),
     ) -> DataFrame:
         """Append a batch in the table's layout: columns by name, missing ones NULL.
 
@@ -210,8 +215,8 @@ class Lake:
         is left. ``marks`` are numbers to remember with the batch, such as how far its source was
         read: they are names of folders around its rows and become columns where the layout has
         them. They are committed with the rows, and also if there are none. Rows go to a folder
-        per year where the table has one, so reading some batches or years leaves the other
-        folders alone. A table is one writer's at a time.
+        per year where the table has one, or per value of ``by``, so reading some batches or years
+        leaves the other folders alone. A table is one writer's at a time.
         """
         marks, loads = marks or {}, _loads_in(self.spark, self.path(table), "batch")
         number = max((load.number for load in loads if load.whole), default=0) + 1
@@ -222,6 +227,8 @@ class Lake:
         rows = fit(df, layout).drop(*marks)
         if "year" in layout.names:
             write_partitioned(rows, path, ["year"], ["investor_company_nm_txt"])
+        elif by:
+            rows.hint("rebalance", *[named(c) for c in by]).write.mode("overwrite").partitionBy(*by).parquet(path)
         else:
             rows.write.mode("overwrite").parquet(path)
         return self.read(table, layout)
