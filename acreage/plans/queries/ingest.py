@@ -18,6 +18,7 @@ from acreage.plans.registry import plain, query
 from acreage.schemas import TABLES, XML_DOCUMENT
 from acreage.session import fresh_path
 from acreage.sources import readers, writers
+from acreage.streaming.dedup import ARRIVED, ingest_unseen
 from acreage.streaming.ingest import BATCH, STREAM, incremental_ingest, insert_new_into
 
 KEYS = ", ".join(views.SALE_KEY)
@@ -289,3 +290,57 @@ def take_in_sales(spark: SparkSession, folder: str) -> DataFrame:
     take_in()
     take_in()
     return spark.read.parquet(sink).drop(STREAM, BATCH)
+
+
+@query(views.sql_with("sales", then=f"SELECT {KEYS}, etl_nr, prop_zip_cd FROM sales"))
+def incremental_ingest_stateful(spark: SparkSession, folder: str) -> DataFrame:
+    """The same files taken in by a stream that remembers keys itself and never reads its sink."""
+    landing, sink, checkpoint = (fresh_path(spark, n) for n in ("landing", "sink", "progress"))
+    rows = views.sales(spark, folder).select(*views.SALE_KEY, "etl_nr", "prop_zip_cd")
+    room = spark.sparkContext.defaultParallelism * (128 << 20)
+
+    def take_in() -> None:
+        ingest_unseen(spark, landing, rows.schema, views.SALE_KEY, sink, checkpoint, bytes_per_batch=room).awaitTermination()
+
+    rows.repartition("l_orderkey").write.parquet(landing)
+    take_in()
+    rows.where(F.col("etl_nr") >= 5).write.mode("append").parquet(landing)
+    take_in()
+    take_in()
+    return spark.read.parquet(sink).drop(ARRIVED)
+
+
+BAD_CELLS_SQL = " UNION ALL ".join(
+    f"""SELECT {SALE_ID_SQL} AS apn, '{column}' AS column_name, '{kind}' AS kind, {cell} AS cell FROM sales WHERE {when}"""
+    for column, kind, cell, when in (
+        ("Bedrooms", "int", "'n/a'", "prop_zip_cd = '00007'"),
+        ("Year Built", "int", "'19' || CAST(prop_attr_br_cnt AS VARCHAR) || 'x'", "prop_zip_cd = '00011'"),
+        ("Last Sale Date", "date", "'soon'", "prop_zip_cd IN ('00003', '00011')"),
+        ("Last Sale Amount", "double", "'12.5.7'", "prop_attr_br_cnt = 5 AND prop_zip_cd = '00013'"),
+    )
+)
+
+
+@query(
+    views.sql_with(
+        "sales",
+        then=f"""SELECT * FROM ({BAD_CELLS_SQL})
+        UNION ALL SELECT NULL, 'rows', NULL, CAST(COUNT(*) AS VARCHAR) FROM sales""",
+    )
+)
+def csv_bad_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Every cell of a landed feed that its type cannot hold, beside the rows that were read."""
+    landing, zip_ = fresh_path(spark, "landing"), F.col("Zip")
+    feed = sales_feed(views.sales(spark, folder, dealt=True))
+    planted = {
+        "Year Built": F.when(zip_ == "00011", F.concat(F.lit("19"), F.col("Bedrooms"), F.lit("x"))),
+        "Last Sale Date": F.when(zip_.isin("00003", "00011"), F.lit("soon")),
+        "Last Sale Amount": F.when((zip_ == "00013") & (F.col("Bedrooms") == "5"), F.lit("12.5.7")),
+    }
+    feed = feed.select(*[F.coalesce(planted[c], F.col(c).cast("string")).alias(c) if c in planted else F.col(f"`{c}`") for c in feed.columns])
+    feed.write.option("header", True).csv(landing)
+    rows, cells = readers.read_sales_csv_checked(spark, landing)
+    number = rows.agg(F.count("*").cast("string").alias("cell")).select(
+        F.lit(None).cast("string").alias("apn"), F.lit("rows").alias("column_name"), F.lit(None).cast("string").alias("kind"), "cell"
+    )
+    return cells.select(F.col("row.APN").alias("apn"), "column_name", "kind", "cell").unionByName(number)

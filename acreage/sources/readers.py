@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acreage.schemas import PARCEL_RESPONSE, SALES_FEED
@@ -14,6 +15,45 @@ def read_sales_csv(spark: SparkSession, folder: str, schema: T.StructType = SALE
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(folder)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_sales_csv_checked(
+    spark: SparkSession, folder: str, schema: T.StructType = SALES_FEED
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``read_sales_csv``, and a row for each cell of them that became NULL because it
+    does not fit its type.
+
+    Lost cells have ``column_name``, ``kind`` (the type that was wanted), ``cell`` (the text that
+    stands there), ``record`` (the whole line), ``file_name`` and ``row`` (what could be read). A
+    line with too few or too many cells, none of which is lost by itself, is one row without a
+    column. Only lines the reader could not take as they are, which it marks, are read once more as
+    text; empty cells are NULL and not lost. Cells hold no line feeds, as for ``read_sales_csv``.
+    """
+    marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(marked).option("header", True).option("enforceSchema", False)
+    lines = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(folder)
+    rows = lines.drop(CORRUPT)
+    names = [f.name for f in schema]
+    quoted = lambda n: f"`{n}`"
+    texts = F.from_csv(CORRUPT, ", ".join(f"{quoted(n)} string" for n in names))
+    bad = lines.where(F.col(CORRUPT).isNotNull()).select(
+        CORRUPT, F.struct(*[F.col(quoted(n)) for n in names]).alias("row"), F.col("_metadata.file_name").alias("file_name"), texts.alias("texts")
+    )
+
+    def lost(field: T.StructField) -> Column:
+        text = F.col(f"texts.{quoted(field.name)}")
+        cell = F.struct(F.lit(field.name).alias("column_name"), F.lit(field.dataType.simpleString()).alias("kind"), text.alias("cell"))
+        return F.when(text.isNotNull() & (text != "") & F.col(f"row.{quoted(field.name)}").isNull(), cell)
+
+    cells = F.array_compact(F.array(*[lost(f) for f in schema if not isinstance(f.dataType, T.StringType)]))
+    kind = "struct<column_name: string, kind: string, cell: string>"
+    # A line whose cells all fit has the wrong number of them.
+    cells = F.when(F.size(cells) > 0, cells).otherwise(F.array(F.lit(None).cast(kind)))
+    each = bad.select(F.explode(cells).alias("lost"), F.col(CORRUPT).alias("record"), "file_name", "row")
+    return rows, each.select("lost.column_name", "lost.kind", "lost.cell", "record", "file_name", "row")
+
+
 def read_csv_inferred(
     spark: SparkSession,
     path: str,

@@ -44,6 +44,24 @@ def insert_new_into(
     return write
 
 
+def landed(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    file_format: str = "parquet",
+    files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """The files that land in a folder as a stream, so many or so much of them at a time."""
+    reader = spark.readStream.format(file_format).schema(schema).options(**(options or {}))
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    return reader.load(folder)
+
+
 def incremental_ingest(
     spark: SparkSession,
     folder: str,
@@ -60,13 +78,8 @@ def incremental_ingest(
 
     The checkpoint remembers which files are done, so a run without new files does nothing.
     """
-    reader = spark.readStream.format(file_format).schema(schema).options(**(options or {}))
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if bytes_per_batch:
-        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return (
-        reader.load(folder)
+        landed(spark, folder, schema, file_format, files_per_batch, bytes_per_batch, options)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
