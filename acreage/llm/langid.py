@@ -36,7 +36,7 @@ ENTRIES = 75_000
 # Counts from here on are one class; classes that have to be cut are cut by a hash into so many buckets.
 HIGHEST_CLASS, BUCKETS = 100_000, 1024
 # Contexts of each language in its tree: its most frequent ones, whatever languages are beside it.
-CONTEXTS = 4096
+CONTEXTS = 3072
 # Characters of text that are scored by one automaton after another before the next are read.
 CHARS_IN_TURN = 8_000_000
 UNKNOWN = "und"
@@ -327,8 +327,11 @@ def decide_in_turn(shared: list, languages: list[str], texts: list[bytes]) -> tu
     return vote(languages, best, of, sizes, np.concatenate(whole, 1))
 
 
-def predict(docs: DataFrame, trees: Trees | Portions, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, ``lang_pred`` and ``score`` for the whole ``text`` of each row.
+def predict(
+    docs: DataFrame, trees: Trees | Portions, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False
+) -> DataFrame:
+    """``keep``, ``lang_pred`` and ``score`` for the whole ``text`` of each row, with ``text`` itself
+    if wanted: a text that is to come along goes to the worker once.
 
     The score is the share of the text that is in the language. A NULL text, one without a letter,
     and every text if nothing was learned are ``und`` with score 0.
@@ -348,10 +351,9 @@ def predict(docs: DataFrame, trees: Trees | Portions, keep: tuple[str, ...] = ("
                 answers = decide_in_turn(shared, languages, read) if in_turn else shared[0].value.decide(read)
                 for i, lang, share in zip(places, *answers):
                     found[i], scores[i] = lang, share
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(found, pa.string()), pa.array(scores, pa.float64())],
-                [*keep, "lang_pred", "score"],
-            )
+            answers = [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
+            columns = [*(batch.column(c) for c in keep), *([batch.column("_text")] if with_text else []), *answers]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, *(["text"] if with_text else []), "lang_pred", "score"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    return rows.mapInArrow(run, f"{kinds}, {'text string, ' if with_text else ''}lang_pred string, score double")

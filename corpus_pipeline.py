@@ -13,9 +13,9 @@ from acreage.session import fresh_path
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: no text, or none with a letter. What stays and had no
     ``lang`` has the predicted one. Learns from all documents that have a language."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    found = langid.predict(rows, langid.train(docs), ("row",)).where(F.col("lang_pred") != langid.UNKNOWN)
-    kept = {c: F.col(f"row.`{c}`").alias(c) for c in docs.columns}
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"), "text")
+    found = langid.predict(rows, langid.train(docs), ("row",), with_text=True).where(F.col("lang_pred") != langid.UNKNOWN)
+    kept = {c: F.col("text" if c == "text" else f"row.`{c}`").alias(c) for c in docs.columns}
     return found.select(*(kept | {"lang": F.coalesce("row.lang", "lang_pred").alias("lang")}).values())
 
 
