@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from acreage.functions.columns import named
 from acreage.operators.keyfilter import FILTER, key_filter, may_hold
 from acreage.session import fresh_path, remove_folder
+from acreage.sources.widening import read_widened
 
 
 def append_batch(df: DataFrame, path: str) -> None:
@@ -182,6 +183,12 @@ class Lake:
             known &= F.col("batch").isin(list(only))
         return self.spark.read.schema(stored).parquet(self.path(table)).where(known).select(*layout.names)
 
+    def read_widened(self, table: str, layout: T.StructType | None = None) -> DataFrame:
+        """The table's batches, whose columns may have other types in each: see ``widening``."""
+        loads = [load for load in _loads_in(self.spark, self.path(table), "batch") if load.whole]
+        marks = ["".join(f"/{name}={value}" for name, value in load.marks.items()) for load in loads]
+        return read_widened(self.spark, [f"{self.path(table)}/{load.name}{inner}" for load, inner in zip(loads, marks)], layout)
+
     def keep_filter(self, table: str, rows: DataFrame, keys: Sequence[str], count: int) -> None:
         """Keep a filter of the keys of the table's last batch beside it: about ``count`` keys."""
         number = self.batches(table)[-1]

@@ -191,3 +191,16 @@ def test_a_load_that_finds_nothing_new_is_recorded(spark, tmp_path):
     for load, name in ((jobs.match, jobs.PROPERTIES), (jobs.comparables, jobs.COMPS)):
         assert load(lake, ONE).isEmpty() and lake.marks(name)["taken_nr"] == 1
     assert lake.marks(jobs.COMPS)["parcels_nr"] == 1
+
+
+def test_counts_are_taken_as_rows_pass(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    gaps = feed(spark, 10, 40).withColumn("Zip", F.when(F.col("Bedrooms") == 6, None).otherwise(F.col("Zip")))
+    incomplete = gaps.where("Zip is null").count()
+    for part in (feed(spark, 0, 20), gaps, gaps.limit(0)):
+        jobs.bronze_sales(lake, part, ONE)
+        jobs.silver_sales(lake, ONE)
+    known = gaps.where("Zip is not null").join(feed(spark, 0, 20), "APN", "left_semi").count()
+    assert rows(jobs.load_counts(lake)) == {
+        (1, 20, 20, 0, 20): 1, (2, 30, 30 - incomplete, incomplete, 30 - incomplete - known): 1, (3, 0, 0, 0, 0): 1,
+    }
