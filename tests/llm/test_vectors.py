@@ -53,39 +53,63 @@ def test_links_and_components_against_all_pairs(spark, monkeypatch, block):
     assert sorted(map(tuple, got.collect()), key=str) == brute_links(rows)
 
 
-def test_no_link_is_lost_among_near_neighbours_that_are_not_linked(spark):
-    rnd = np.random.default_rng(3)
+def crowded(seed, others, pairs, level=0.85):
+    """Vectors of mutual cosine ``level``, the first of which have partners at 0.955."""
+    rnd = np.random.default_rng(seed)
     middle = np.zeros(64)
     middle[0] = 1
-    others = rnd.normal(size=(9000, 64))
-    others[:, 0] = 0
-    others /= np.linalg.norm(others, axis=1, keepdims=True)
-    points = np.sqrt(0.85) * middle + np.sqrt(0.15) * others
-    # The first 600 are given partners at a cosine of 0.955; the cosine of most others is 0.85.
-    beside = rnd.normal(size=(600, 64))
-    beside -= (beside * points[:600]).sum(1, keepdims=True) * points[:600]
+    points = rnd.normal(size=(others, 64))
+    points[:, 0] = 0
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    points = np.sqrt(level) * middle + np.sqrt(1 - level) * points
+    beside = rnd.normal(size=(pairs, 64))
+    beside -= (beside * points[:pairs]).sum(1, keepdims=True) * points[:pairs]
     beside /= np.linalg.norm(beside, axis=1, keepdims=True)
-    points = np.concatenate([points, 0.955 * points[:600] + np.sqrt(1 - 0.955**2) * beside]).astype(np.float32)
-    units = points.astype(float) / np.linalg.norm(points.astype(float), axis=1, keepdims=True)
-    want = (units @ units.T >= 0.95).sum(1) - 1
-    assert want[:600].all() and (want == 0).sum() > 6000
-    rows = [(i, p) for i, p in enumerate(points.tolist())]
-    got = projections.near_duplicates(table(spark, rows)).collect()
-    assert {r.vec_id: r.n_links for r in got} == dict(enumerate(want.tolist()))
-    component = {r.vec_id: r.component_id for r in got}
-    assert all(component[i] == component[9000 + i] for i in range(600))
-
-
-@pytest.mark.parametrize("passes", [1, 16])
-def test_what_the_passes_miss_is_found(spark, monkeypatch, passes):
-    monkeypatch.setattr(projections, "PASSES", passes)
-    monkeypatch.setattr(projections, "WINDOW", 1)
+    return np.concatenate([points, 0.955 * points[:pairs] + np.sqrt(1 - 0.955**2) * beside]).astype(np.float32)
+
+
+def test_recall_among_near_neighbours_that_are_not_linked(spark):
+    """One crowded place, and twelve of them in different directions."""
+    one = crowded(3, 9000, 600)
+    rnd = np.random.default_rng(8)
+    turned = [crowded(20 + k, 700, 50) @ np.linalg.qr(rnd.normal(size=(64, 64)))[0] for k in range(12)]
+    for points in (one, np.concatenate(turned).astype(np.float32)):
+        units = points.astype(float) / np.linalg.norm(points.astype(float), axis=1, keepdims=True)
+        links = units @ units.T >= 0.95
+        want = links.sum(1) - 1
+        assert (want > 0).sum() >= 1200 and (want == 0).sum() > 6000
+        got = projections.near_duplicates(table(spark, list(enumerate(points.tolist())))).collect()
+        found = np.zeros(len(points), int)
+        component = np.zeros(len(points), int)
+        for r in got:
+            found[r.vec_id], component[r.vec_id] = r.n_links, r.component_id
+        assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
+        a, b = np.nonzero(np.triu(links, 1))
+        assert (component[a] == component[b]).mean() >= 0.99
+
+
+def test_more_rounds_where_windows_are_narrow(spark, monkeypatch):
+    monkeypatch.setattr(projections, "WINDOW", 2)
     monkeypatch.setattr(projections, "ROWS", 32)
     rows = vectors(4) + [(950, [1.0, 2.0, 3.0]), (951, [1.0, 2.0, 3.1])]
     got = projections.near_duplicates(table(spark, rows)).select("vec_id", "n_links", "component_id", "kept")
     assert sorted(map(tuple, got.collect()), key=str) == brute_links(rows)
 
 
+@pytest.mark.parametrize("block, ring", [(7, 0.05), (40, 0.3)])
+def test_links_of_large_components_are_counted_in_blocks(spark, monkeypatch, block, ring):
+    monkeypatch.setattr(projections, "BLOCK", block)
+    monkeypatch.setattr(projections, "RING", ring)
+    rnd = np.random.default_rng(6)
+    # A chain along an arc, whose ends are far apart, and a crowd of near copies.
+    turns = np.linspace(0, 2.4, 160)
+    arc = [[float(np.cos(t)), float(np.sin(t)), 0.05 * float(rnd.normal())] for t in turns]
+    crowd = [[float(x) for x in [0, 0, -1] + rnd.normal(size=3) * 0.02] for _ in range(150)]
+    rows = list(enumerate(arc + crowd + crowd[:5]))
+    got = projections.near_duplicates(table(spark, rows)).select("vec_id", "n_links", "component_id", "kept")
+    assert sorted(map(tuple, got.collect()), key=str) == brute_links(rows)
+
+
 def test_empty_tables(spark):
     assert projections.near_duplicates(table(spark, [])).count() == 0
     assert topk.search(table(spark, [])).count() == 0
