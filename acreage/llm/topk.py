@@ -2,16 +2,16 @@
 
 Every vector is keyed by its nearest pivot and its distance from it, and stored in that order, so
 a stretch of rows is an annulus around a pivot. By the triangle inequality an annulus bounds the
-distance of all its vectors from a query, and with their largest norm their inner products. The
-annuli with the best bounds are read first; those that cannot reach a query's k-th best score so
-far are left out for that query.
+distance of all its vectors from a query, and with their largest norm their inner products. A
+query goes to the blocks of the order that hold an annulus which may reach its k-th best score so
+far, and in each block to the annuli with the best bounds first, until no other can reach it.
+Queries and rows meet in tasks; none goes through the driver.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +19,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from acreage.operators.changes import one_per_key
 from acreage.sources.writers import stored
 
 # Vectors the pivots are chosen from, about; most pivots; rounds of moving them to their cells' middle.
 PIVOT_SAMPLE, MAX_PIVOTS, ROUNDS = 4096, 256, 4
 # Vectors of an annulus.
 ANNULUS = 512
-# Bytes of queries that are sent to every task at a time.
-QUERY_BYTES = 16 << 20
+# Rows of a block of the order, as a power of two, and queries that meet a block at a time, about.
+BLOCK_POWER, QUERIES = 15, 16_384
+# Stretches of one pivot within a block: as long as there are no more, queries are told which to go to.
+MOST_STRETCHES = 500_000
 # Hits that a task holds before it drops those beyond a query's k.
 HITS = 1 << 20
 # Rows handled at once when vectors are keyed.
@@ -76,8 +79,8 @@ def distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def build(rows: DataFrame, pivots: np.ndarray, partitions: int) -> DataFrame:
-    """The rows with ``pivot`` and ``far``, stored in order of both. A cell of any size is many
-    files' worth of rows: the order goes on by distance and id."""
+    """The rows with ``pivot``, ``far``, ``norm2`` and ``block``, stored in order of pivot and distance.
+    A cell of any size is many files' worth of rows: the order goes on by distance and id."""
     shared = rows.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,21 +88,22 @@ def build(rows: DataFrame, pivots: np.ndarray, partitions: int) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                far = distances(padded(part.column("x"), pivots.shape[1]), pivots)
+                points = padded(part.column("x"), pivots.shape[1])
+                far = distances(points, pivots)
                 nearest = far.argmin(1)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(nearest, pa.int32()), pa.array(far[np.arange(len(far)), nearest])],
-                    ["vec_id", "x", "pivot", "far"],
-                )
+                added = [pa.array(nearest, pa.int32()), pa.array(far[np.arange(len(far)), nearest]), pa.array((points**2).sum(1))]
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], ["vec_id", "x", "pivot", "far", "norm2"])
 
-    layout = T.StructType([*rows.schema.fields, T.StructField("pivot", T.IntegerType()), T.StructField("far", T.DoubleType())])
+    added = [("pivot", T.IntegerType()), ("far", T.DoubleType()), ("norm2", T.DoubleType())]
+    layout = T.StructType([*rows.schema.fields, *(T.StructField(n, t) for n, t in added)])
     keyed = stored(rows.mapInArrow(run, layout))
     by = ["pivot", "far", "vec_id"]
-    return stored(keyed.repartitionByRange(partitions, *by).sortWithinPartitions(*by))
+    ordered = keyed.repartitionByRange(partitions, *by).sortWithinPartitions(*by)
+    return stored(ordered.withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_POWER)))
 
 
-def annuli(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Stretches of one pivot and at most ANNULUS rows."""
+def annuli(batch: pa.RecordBatch | pa.Table) -> Iterator[pa.RecordBatch | pa.Table]:
+    """Stretches of one pivot and at most ANNULUS rows, of a batch or table in order."""
     pivots = np.asarray(batch.column("pivot"))
     cuts = [0, *(np.flatnonzero(np.diff(pivots)) + 1).tolist(), batch.num_rows]
     for start, end in zip(cuts, cuts[1:]):
@@ -137,82 +141,112 @@ def seeds(index: DataFrame, every: int, k: int, dim: int) -> DataFrame:
                     [part.column("vec_id").take(pa.array(asked)), part.column("x").take(pa.array(asked)), found], ["vec_id", "x", "seed"]
                 )
 
-    return index.mapInArrow(run, "vec_id long, x array<double>, seed double").dropDuplicates(["vec_id"])
+    found = index.mapInArrow(run, "vec_id long, x array<double>, seed double")
+    # Of several rows with a query's id the first by components is the query.
+    return one_per_key(found, ["vec_id"], ["x", "seed"])
 
 
-@dataclass
-class Queries:
-    """A bounded number of queries and what is known of them before the search."""
+def bounds(
+    points: np.ndarray, pivots: np.ndarray, pivot: np.ndarray, low: np.ndarray, high: np.ndarray, most: np.ndarray
+) -> np.ndarray:
+    """The most that the product of each query with a vector of each annulus can be: one that lies
+    ``low`` to ``high`` from its pivot and holds squared norms of up to ``most``."""
+    norms = (points**2).sum(1)[:, None]
+    to_pivot = distances(points, pivots)[:, pivot]
+    gap = np.maximum(0, np.maximum(to_pivot - high, low - to_pivot))
+    by_distance = (norms + most - gap**2) / 2
+    by_pivot = (points @ pivots.T)[:, pivot] + np.sqrt(norms) * high
+    return np.minimum(by_distance, by_pivot) + 1e-9 * (norms + most) + 1e-6
 
-    ids: np.ndarray
-    points: np.ndarray
-    seeds: np.ndarray
-    pivots: np.ndarray
 
+def dealt(asked: DataFrame, index: DataFrame, pivots: np.ndarray, portions: int) -> DataFrame:
+    """The queries with ``portion`` and a row for each ``block`` that may hold one of their best.
 
-def hits(index: DataFrame, queries: Queries, k: int) -> DataFrame:
-    """``query_id``, ``vec_id`` and ``score``: each task's k best of each query, at least as good
-    as the query's seed; rows with the query's id are the query's own and left out."""
-    shared = index.sparkSession.sparkContext.broadcast(queries)
+    What is known of the blocks is sent to the tasks if it is no more than MOST_STRETCHES rows;
+    else every query goes to every block.
+    """
+    spark = asked.sparkSession
+    stretches = index.groupBy("block", "pivot").agg(F.min("far").alias("low"), F.max("far").alias("high"), F.max("norm2").alias("most"))
+    stretches = stored(stretches)
+    placed = asked.withColumn("portion", F.pmod(F.xxhash64("vec_id", F.lit(17)), F.lit(portions)).cast("int"))
+    if stretches.count() > MOST_STRETCHES:
+        blocks = stretches.select("block").distinct()
+        return placed.join(blocks, F.lit(True))
+    table = stretches.toArrow()
+    shared = spark.sparkContext.broadcast((pivots, {n: table.column(n).to_numpy() for n in table.column_names}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = shared.value
-        norms = (asked.points**2).sum(1)
-        to_pivot = distances(asked.points, asked.pivots)
-        at_pivot = asked.points @ asked.pivots.T
-        best = np.full((len(asked.ids), k), -np.inf)
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        size = 0
-
-        def least() -> np.ndarray:
-            """What a score has to reach: the k-th best of this task or the seed."""
-            return np.maximum(best.min(1), asked.seeds)
-
-        def kept() -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-            q, ids, scores = (np.concatenate(c) for c in zip(*held)) if held else (np.empty(0, np.int64),) * 3
-            good = scores >= least()[q]
-            q, ids, scores = q[good], ids[good], scores[good]
-            order = np.lexsort((ids, -scores, q))
-            q, ids, scores = q[order], ids[order], scores[order]
-            starts = np.searchsorted(q, q)
-            top = np.arange(len(q)) - starts < k
-            return [(q[top], ids[top], scores[top])]
-
+        pivots, known = shared.value
+        names, of = np.unique(known["block"], return_inverse=True)
         for batch in batches:
-            parts = list(annuli(batch))
-            bounds = np.empty((len(asked.ids), len(parts)))
-            points = [padded(p.column("x"), asked.points.shape[1]) for p in parts]
-            for j, part in enumerate(parts):
-                pivot, far = part.column("pivot")[0].as_py(), np.asarray(part.column("far"))
-                most = (points[j] ** 2).sum(1).max()
-                gap = np.maximum(0, np.maximum(to_pivot[:, pivot] - far.max(), far.min() - to_pivot[:, pivot]))
-                by_distance = (norms + most - gap**2) / 2
-                by_pivot = at_pivot[:, pivot] + np.sqrt(norms) * far.max()
-                bounds[:, j] = np.minimum(by_distance, by_pivot) + 1e-9 * (norms + most) + 1e-6
-            for j in np.argsort(-(bounds - least()[:, None]).max(0)):
-                active = np.flatnonzero(bounds[:, j] >= least())
-                if not len(active):
-                    continue
-                ids = np.asarray(parts[j].column("vec_id"))
-                scores = products(asked.points[active], points[j])
-                own = asked.ids[active][:, None] == ids[None, :]
-                ranked = np.where(own, -np.inf, scores)
-                best[active] = np.partition(np.concatenate([best[active], ranked], 1), -k, axis=1)[:, -k:]
-                q, at = np.nonzero((ranked >= least()[active][:, None]) & ~own)
-                held.append((active[q], ids[at], scores[q, at]))
-                size += len(q)
-                if size > HITS:
-                    held = kept()
-                    size = len(held[0][0])
-        q, ids, scores = kept()[0]
-        for start in range(0, len(q), HITS):
-            part = slice(start, start + HITS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(asked.ids[q[part]], pa.int64()), pa.array(ids[part], pa.int64()), pa.array(scores[part], pa.int64())],
-                ["query_id", "vec_id", "score"],
-            )
-
-    return index.mapInArrow(run, "query_id long, vec_id long, score long")
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                points = padded(part.column("x"), pivots.shape[1])
+                seeds = np.nan_to_num(part.column("seed").to_numpy(zero_copy_only=False).astype(np.float64), nan=-np.inf)
+                goes = np.zeros((len(points), len(names)), bool)
+                for at in range(0, len(of), ROWS):
+                    some = slice(at, at + ROWS)
+                    reach = bounds(points, pivots, known["pivot"][some], known["low"][some], known["high"][some], known["most"][some])
+                    q, k = np.nonzero(reach >= seeds[:, None])
+                    goes[q, of[some][k]] = True
+                q, b = np.nonzero(goes)
+                for at in range(0, len(q), ROWS):
+                    chosen = pa.array(q[at : at + ROWS])
+                    columns = [part.column(c).take(chosen) for c in ("vec_id", "x", "seed", "portion")]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(names[b[at : at + ROWS]])], ["vec_id", "x", "seed", "portion", "block"])
+
+    return placed.mapInArrow(run, "vec_id long, x array<double>, seed double, portion int, block long")
+
+
+def best_in(block: pa.Table, asked: pa.Table, pivots: np.ndarray, k: int) -> pa.Table:
+    """``query_id``, ``vec_id`` and ``score``: the block's k best of each query, at least as good as
+    the query's seed; rows with the query's id are the query's own and left out."""
+    queries, seeds = asked.column("vec_id").to_numpy(), np.nan_to_num(asked.column("seed").to_numpy().astype(np.float64), nan=-np.inf)
+    dim = pivots.shape[1]
+    asked_points = padded(whole(asked.column("x")), dim)
+    best = np.full((len(queries), k), -np.inf)
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def least() -> np.ndarray:
+        """What a score has to reach: the k-th best of this block or the seed."""
+        return np.maximum(best.min(1), seeds)
+
+    def kept() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        q, ids, scores = (np.concatenate(c) for c in zip(*held)) if held else (np.empty(0, np.int64),) * 3
+        good = scores >= least()[q]
+        q, ids, scores = q[good], ids[good], scores[good]
+        order = np.lexsort((ids, -scores, q))
+        q, ids, scores = q[order], ids[order], scores[order]
+        top = np.arange(len(q)) - np.searchsorted(q, q) < k
+        return q[top], ids[top], scores[top]
+
+    rows = list(annuli(block.sort_by([("pivot", "ascending"), ("far", "ascending"), ("vec_id", "ascending")])))
+    edges = {n: np.array([f(r.column(c).to_numpy()) for r in rows]) for n, c, f in (("low", "far", np.min), ("high", "far", np.max), ("most", "norm2", np.max))}
+    pivot = np.array([r.column("pivot")[0].as_py() for r in rows])
+    reach = bounds(asked_points, pivots, pivot, edges["low"], edges["high"], edges["most"])
+    for j in np.argsort(-(reach - least()[:, None]).max(0)):
+        active = np.flatnonzero(reach[:, j] >= least())
+        if not len(active):
+            continue
+        ids = rows[j].column("vec_id").to_numpy()
+        scores = products(asked_points[active], padded(whole(rows[j].column("x")), dim))
+        own = queries[active][:, None] == ids[None, :]
+        ranked = np.where(own, -np.inf, scores)
+        best[active] = np.partition(np.concatenate([best[active], ranked], 1), -k, axis=1)[:, -k:]
+        q, at = np.nonzero((ranked >= least()[active][:, None]) & ~own)
+        held.append((active[q], ids[at], scores[q, at]))
+        size += len(q)
+        if size > HITS:
+            held = [kept()]
+            size = len(held[0][0])
+    q, ids, scores = kept()
+    return pa.table({"query_id": queries[q], "vec_id": ids, "score": scores.astype(np.int64)})
+
+
+def whole(column: pa.ChunkedArray) -> pa.Array:
+    column = column.combine_chunks()
+    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
 
 
 def search(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64) -> DataFrame:
@@ -221,11 +255,11 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64) ->
 
     Ties go to the smaller id; fewer rows where there are fewer others. NULL vectors, those with
     NULL or non-finite components and rows without an id take no part; shorter vectors count as
-    filled with zeros; rows that repeat a query's id are its own, and one of them is the query.
-    Products must fit in 64 bits.
+    filled with zeros; rows that repeat a query's id are its own, and of them the first by components
+    is the query. Products must fit in 64 bits.
 
-    Queries are sent to the tasks in portions of at most about QUERY_BYTES: more queries are
-    more passes over the index, not larger ones.
+    Portions of about QUERIES queries and blocks of the order meet in tasks, so more of either are
+    more tasks, not larger ones.
     """
     spark = vectors.sparkSession
     rows = stored(whole_numbers(vectors, scale))
@@ -234,18 +268,17 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64) ->
     pivots = choose_pivots(rows, count, dim)
     index = build(rows, pivots, int(spark.conf.get("spark.sql.shuffle.partitions")))
     asked = stored(seeds(index, every, k, dim))
-    portions = math.ceil(asked.count() * (dim + k + 2 * len(pivots)) * 8 / QUERY_BYTES)
-    found = None
-    for portion in range(max(1, portions)):
-        some = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(max(1, portions))) == portion).toArrow()
-        ids = some.column("vec_id").to_numpy()
-        points = padded(some.column("x").combine_chunks(), dim) if len(ids) else np.zeros((0, dim))
-        least = some.column("seed").to_pandas().fillna(-np.inf).to_numpy(np.float64)
-        part = stored(hits(index, Queries(ids, points, least, pivots), k)) if len(ids) else None
-        if part is not None:
-            found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = spark.createDataFrame([], "query_id long, vec_id long, score long")
+    portions = max(1, math.ceil(asked.count() / QUERIES))
+    going = dealt(asked, index, pivots, portions).groupBy("block", "portion")
+    met = index.withColumn("portion", F.explode(F.sequence(F.lit(0), F.lit(portions - 1)))).groupBy("block", "portion")
+    shared = spark.sparkContext.broadcast(pivots)
+
+    def compare(block: pa.Table, asked: pa.Table) -> pa.Table:
+        if not block.num_rows or not asked.num_rows:
+            return pa.table({n: pa.array([], pa.int64()) for n in ("query_id", "vec_id", "score")})
+        return best_in(block, asked, shared.value, k)
+
+    found = met.cogroup(going).applyInArrow(compare, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

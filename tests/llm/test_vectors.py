@@ -128,14 +128,36 @@ def brute_top(rows, every, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("portion", [16 << 20, 2000])
-def test_search_against_all_products(spark, monkeypatch, portion):
-    monkeypatch.setattr(topk, "QUERY_BYTES", portion)
+@pytest.mark.parametrize("queries, power, most", [(16_384, 15, 500_000), (3, 4, 500_000), (3, 5, 0)])
+def test_search_against_all_products(spark, monkeypatch, queries, power, most):
+    for name, value in (("QUERIES", queries), ("BLOCK_POWER", power), ("MOST_STRETCHES", most)):
+        monkeypatch.setattr(topk, name, value)
     rows = vectors(1, 150) + [r for r in ODD if r[0] != 906] + [(-20, [1.0] * 8), (1000, [2.0]), (1001, [-50.0] * 8)]
     got = topk.search(table(spark, rows)).select("query_id", "rank", "vec_id", "score")
     assert sorted(map(tuple, got.collect())) == brute_top(rows, 20, 20)
 
 
+def test_a_query_goes_only_to_blocks_that_may_hold_its_best(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_POWER", 5)
+    monkeypatch.setattr(topk, "ANNULUS", 32)
+    rnd = np.random.default_rng(12)
+    # Equal norms and well-parted groups: other groups cannot reach the k-th best of a query's own.
+    points = np.repeat(np.eye(12), 100, axis=0) * 30 + rnd.normal(size=(1200, 12)) * 0.2
+    rows = topk.whole_numbers(table(spark, list(enumerate(points.astype(np.float32).tolist()))), 64)
+    pivots = np.eye(12) * 30 * 64
+    index = topk.build(rows, pivots, 4)
+    asked = topk.seeds(index, 20, 5, 12)
+    going = topk.dealt(asked, index, pivots, 1).groupBy("vec_id").count()
+    blocks = index.select("block").distinct().count()
+    assert blocks >= 30 and going.agg({"count": "avg"}).first()[0] < blocks / 3
+
+
+def test_repeated_query_ids_with_different_vectors(spark):
+    rows = [(20, [3.0, 1.0]), (20, [1.0, 5.0]), (20, [1.0, 5.0]), (1, [2.0, 0.0]), (2, [0.0, 2.0]), (2, [0.0, 2.0])]
+    got = topk.search(table(spark, rows)).orderBy("rank").collect()
+    assert [(r.query_id, r.vec_id, r.score) for r in got] == [(20, 2, 40960), (20, 2, 40960), (20, 1, 8192)]
+
+
 def test_fewer_rows_than_k_and_ties(spark):
     rows = [(i, [1.0, 1.0]) for i in range(25)]
     got = topk.search(table(spark, rows)).orderBy("query_id", "rank").collect()
