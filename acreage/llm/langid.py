@@ -16,7 +16,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -134,7 +133,7 @@ class Portions:
 
     def trees(self, first: int) -> Trees:
         own = self.languages[first : first + LANGUAGES_AT_ONCE]
-        return lay_out(self.counts.where(F.col("lang").isin(own)).toPandas(), own, self.symbols)
+        return lay_out(self.counts.where(F.col("lang").isin(own)).toArrow(), own, self.symbols)
 
     def shared(self) -> list:
         """One automaton after the other, sent to the executors."""
@@ -212,21 +211,25 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Trees | P
     symbols[seen] = np.arange(1, len(seen) + 1)
     if len(languages) > LANGUAGES_AT_ONCE:
         return Portions(languages, symbols, rows)
-    return lay_out(rows.toPandas(), languages, symbols)
+    return lay_out(rows.toArrow(), languages, symbols)
 
 
-def lay_out(rows: pd.DataFrame, languages: list[str], symbols: np.ndarray) -> Trees:
+def lay_out(rows: pa.Table, languages: list[str], symbols: np.ndarray) -> Trees:
     """The automaton of some languages. Each has its own CONTEXTS most frequent contexts and says
     nothing of others', so its code lengths do not depend on the languages beside it."""
     width = int(symbols.max()) + 1
-    totals = rows.assign(context=rows["entry"] // 256).groupby(["lang", "size", "context"], as_index=False)["n"].sum()
-    totals = totals.sort_values(["n", "size", "context"], ascending=[False, True, True])
-    own_nodes: dict[str, set[bytes]] = {language: {b""} for language in languages}
-    for language, own in totals.groupby("lang"):
-        best, known = own.head(CONTEXTS).sort_values(["size", "context"]), own_nodes[language]
-        for size, context in zip(best["size"].tolist(), best["context"].tolist()):
-            name = int(context).to_bytes(size, "big")
-            if size and name[:-1] in known and name[1:] in known:
+    langs, sizes, entries, numbers = (rows.column(c).to_numpy() for c in ("lang", "size", "entry", "n"))
+    own_rows = {language: np.flatnonzero(langs == language) for language in languages}
+    own_nodes: dict[str, set[bytes]] = {}
+    for language, own in own_rows.items():
+        # A context and its length as one number; the sum of its counts is how often it occurred.
+        contexts, of = np.unique(sizes[own].astype(np.int64) << 40 | entries[own] >> 8, return_inverse=True)
+        totals = np.bincount(of, numbers[own], len(contexts)).astype(np.int64)
+        best = np.sort(contexts[np.lexsort((contexts, -totals))[:CONTEXTS]])
+        known = own_nodes[language] = {b""}
+        for context in best.tolist():
+            name = (context & (1 << 40) - 1).to_bytes(context >> 40, "big")
+            if name and name[:-1] in known and name[1:] in known:
                 known.add(name)
     nodes = {name: number for number, name in enumerate(sorted(set().union(*own_nodes.values(), {b""}), key=lambda n: (len(n), n)))}
     parent = np.array([nodes[name[1:]] if name else -1 for name in nodes])
@@ -240,12 +243,12 @@ def lay_out(rows: pd.DataFrame, languages: list[str], symbols: np.ndarray) -> Tr
                 follow[nodes[name[:-1]], symbols[name[-1]]] = node
     bits = np.zeros((len(languages), len(nodes), width), np.float32)
     for number, language in enumerate(languages):
-        own = rows[rows["lang"] == language]
-        names = [int(e >> 8).to_bytes(s, "big") for e, s in zip(own["entry"].tolist(), own["size"].tolist())]
-        known = np.array([nodes[n] if n in own_nodes[language] else -1 for n in names])
+        own = own_rows[language]
+        names = [int(e >> 8).to_bytes(s, "big") for e, s in zip(entries[own].tolist(), sizes[own].tolist())]
+        known = np.array([nodes[n] if n in own_nodes[language] else -1 for n in names], np.int64)
         held = known >= 0
         table = np.zeros((len(nodes) + 1, width))
-        table[known[held], symbols[own["entry"].to_numpy()[held] & 255]] = own["n"].to_numpy()[held]
+        table[known[held], symbols[entries[own][held] & 255]] = numbers[own][held]
         bits[number] = code_lengths(table, parent)
     return Trees(languages, symbols, follow, bits)
 
