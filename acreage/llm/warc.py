@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import json
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -104,44 +105,49 @@ def write(pages: DataFrame, folder: str) -> None:
     )
 
 
-def inflated(content: bytes) -> Iterator[bytes]:
-    """A gzip file's content in steps, whether it is one member or many."""
+def inflated(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """A gzip stream's content in steps, whether it is one member or many; no step is larger than
+    STEP, however well it was packed."""
     stream = zlib.decompressobj(31)
-    view = memoryview(content)
-    for at in range(0, len(view), STEP):
-        data = view[at : at + STEP].tobytes()
+    for data in chunks:
         while data:
-            yield stream.decompress(data)
-            data = stream.unused_data
+            yield stream.decompress(data, STEP)
+            data = stream.unconsumed_tail or stream.unused_data
             if stream.eof:
                 stream = zlib.decompressobj(31)
     yield stream.flush()
 
 
-def records(content: bytes) -> Iterator[tuple[bytes, bytes]]:
-    """Head and block of each record of an archive file; holds one record at a time."""
+def records(content: bytes | Iterable[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    """Head and block of each record of an archive, whole or in chunks; holds one record at a time."""
     held = bytearray()
-    steps, more = inflated(content), True
-    head, need = b"", -1
+    steps, more = inflated([content] if isinstance(content, bytes) else content), True
+    head, need, sought = b"", -1, 0
     while more or held:
         if need < 0:
-            end = held.find(b"\r\n\r\n")
+            end = held.find(b"\r\n\r\n", max(0, sought - 3))
             if end >= 0:
                 head = bytes(held[:end])
                 del held[: end + 4]
-                need = int(fields(head)[1]["content-length"]) + 4
+                need, sought = int(fields(head)[1]["content-length"]) + 4, 0
+            else:
+                sought = len(held)
         if 0 <= need <= len(held):
             yield head, bytes(held[: need - 4])
             del held[:need]
             need = -1
             continue
-        if need >= 0 or held.find(b"\r\n\r\n") < 0:
-            try:
-                held += next(steps)
-            except StopIteration:
-                if held or need >= 0:
-                    raise ValueError("the archive ends within a record") from None
-                more = False
+        try:
+            held += next(steps)
+        except StopIteration:
+            if held or need >= 0:
+                raise ValueError("the archive ends within a record") from None
+            more = False
+
+
+def chunks_of(stream) -> Iterator[bytes]:
+    while data := stream.read(STEP):
+        yield data
 
 
 def fields(head: bytes) -> tuple[str, dict[str, str]]:
@@ -153,24 +159,29 @@ def fields(head: bytes) -> tuple[str, dict[str, str]]:
 def normalise(source: str, target: str, spark) -> DataFrame:
     """Rewrite whole-stream archives with a gzip member per record; one row per archive written.
 
-    Each file is inflated once, from start to end. Beside each archive goes a sidecar with a line
+    Each file is read and inflated once, from start to end and in steps, so an archive of any size
+    takes the memory of its largest record; it is one task, as a whole stream cannot be entered in the
+    middle. Beside each archive goes a sidecar with a line
     per record: offset and length of its member, its id and type. File names are new in each
     attempt, and only archives named in the returned table count, so a task that runs twice does
     no harm. ``target`` is a folder that every executor reaches.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("content")
+    # Paths alone: contents are not read here, nor bound by the size of a row.
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(target)
         for batch in batches:
-            for row in batch.column("content"):
+            for path in batch.column("path").to_pylist():
+                origin, place = fs.FileSystem.from_uri(path)
                 name = f"{root}/{uuid.uuid4().hex}"
                 count = at = 0
                 with (
+                        origin.open_input_stream(place, compression=None) as stream,
                         store.open_output_stream(f"{name}.warc.gz", compression=None) as archive,
                         store.open_output_stream(f"{name}.idx", compression=None) as index,
                     ):
-                    for head, block in records(row.as_py()):
+                    for head, block in records(chunks_of(stream)):
                         packer = zlib.compressobj(6, zlib.DEFLATED, 31)
                         member = packer.compress(head + b"\r\n\r\n" + block + b"\r\n\r\n") + packer.flush()
                         archive.write(member)
@@ -208,11 +219,9 @@ def read(archives: DataFrame, target: str) -> DataFrame:
         store, _ = fs.FileSystem.from_uri(target)
         for batch in batches:
             for row in batch.to_pylist():
-                with store.open_input_stream(row["sidecar"]) as sidecar:
-                    entries = [json.loads(line) for line in sidecar.read().splitlines()]
-                with store.open_input_file(row["archive"]) as archive:
+                with store.open_input_stream(row["sidecar"]) as sidecar, store.open_input_file(row["archive"]) as archive:
                     rows, held = [], 0
-                    for entry in entries:
+                    for entry in map(json.loads, io.BufferedReader(sidecar)):
                         content = zlib.decompress(archive.read_at(entry["length"], entry["offset"]), 31)
                         rows.append(_page(content))
                         held += len(content)

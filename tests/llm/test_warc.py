@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import json
 import zlib
 
 import pytest
@@ -65,6 +66,35 @@ def test_streams_of_many_members_and_broken_ones():
     assert list(warc.records(gzip.compress(b""))) == []
 
 
+def test_a_stream_is_never_held_whole(spark, monkeypatch, tmp_path):
+    """A monolithic archive of many records and one that inflates a thousandfold, in small steps."""
+    monkeypatch.setattr(warc, "STEP", 1000)
+    block = b"a" * 50_000
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n"
+    whole = b"".join(record % (i, len(block)) + block + b"\r\n\r\n" for i in range(40))
+    packed = gzip.compress(whole)
+    read = []
+
+    def chunks():
+        for at in range(0, len(packed), 100):
+            read.append(at)
+            yield packed[at : at + 100]
+
+    seen = 0
+    for _, content in warc.records(chunks()):
+        assert content == block
+        seen += 1
+        # The first record is out long before the stream has been read.
+        assert seen > 3 or len(read) < len(packed) / 100 / 2
+    assert seen == 40 and max(map(len, warc.inflated([packed]))) <= 1000
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.gz").write_bytes(packed)
+    done = warc.normalise(str(tmp_path / "in"), str(tmp_path / "out"), spark).collect()
+    assert [r.records for r in done] == [40]
+    index = [json.loads(line) for line in (tmp_path / "out").glob("*.idx").__next__().read_text().splitlines()]
+    assert index[-1]["offset"] + index[-1]["length"] == done[0].bytes
+
+
 def test_a_changed_payload_is_found(spark):
     good = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Payload-Digest: sha256:00\r\n\r\nHTTP\r\n\r\nx\r\n\r\n"
     with pytest.raises(ValueError):
