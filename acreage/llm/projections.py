@@ -25,7 +25,7 @@ from acreage.sources.writers import stored
 
 COSINE = 0.95
 # Passes of a round, bits of a pass's string, and neighbours a vector is compared with before and after it at most.
-PASSES, BITS, WINDOW = 16, 60, 1024
+PASSES, BITS, WINDOW = 8, 60, 1024
 # A round that unites fewer pairs of groups than this share of what is united already is the last.
 HARDLY_ANY = 0.001
 # Vectors of each length that the middles are chosen from, about, middles of a round, and bytes of all of them.
