@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from acreage.functions.columns import all_present, any_of, named, row_as_text
 from acreage.operators.changes import lookup_join
 from acreage.operators.keys import dense_surrogate_key, number
-from acreage.sources.writers import path_exists, stored
+from acreage.sources.writers import Lake, stored
 
 MODES = ("filter", "stat", "filter_and_stat")
 
@@ -146,7 +146,8 @@ def check_quality(
 
     ``filter`` returns passing rows; ``stat`` appends failures, without the key column, to the
     parquet table ``bad_records`` and returns all rows; ``filter_and_stat`` does both. Their keys
-    follow the largest in the table. Failures are found and stored once, when this is called.
+    follow the largest in the table, which is part of a folder's name there: the table is not read.
+    It is one writer's at a time. Failures are found and stored once, when this is called.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode: {mode}")
@@ -154,10 +155,10 @@ def check_quality(
         raise ValueError(f"mode {mode} needs bad_records and as_of")
     failures = stored(find_failures(df, rules, pk))
     if mode != "filter":
-        base = 0
-        if path_exists(df.sparkSession, bad_records):
-            base = df.sparkSession.read.parquet(bad_records).agg(F.max("brnz_bd_rec_sk")).first()[0] or 0
-        numbered = number(failures, "brnz_bd_rec_sk", base)
-        bad_record_rows(numbered.rows, table, as_of, pk).drop(pk).write.mode("append").parquet(bad_records)
+        root, _, name = bad_records.rstrip("/").rpartition("/")
+        store = Lake(df.sparkSession, root)
+        numbered = number(failures, "brnz_bd_rec_sk", store.marks(name).get("top_nr", 0))
+        rows = bad_record_rows(numbered.rows, table, as_of, pk).drop(pk)
+        store.append(name, rows, rows.schema, {"top_nr": numbered.top})
         numbered.discard()
     return (df if mode == "stat" else passing_rows(df, failures, pk)), failures

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -176,8 +178,10 @@ def landed_orders(spark: SparkSession, folder: str) -> tuple[str, str, DataFrame
     orders = views.base(spark, folder, "orders")
     landing = fresh_path(spark, "landing")
     orders.write.option("header", True).csv(landing)
-    stored(orders).createOrReplaceTempView("acreage_orders")
-    return landing, "acreage_orders", orders
+    # A name of this call alone, so that two queries of a session do not meet.
+    name = f"orders_{uuid.uuid4().hex}"
+    stored(orders).createOrReplaceTempView(name)
+    return landing, name, orders
 
 
 @query(

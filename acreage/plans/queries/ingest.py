@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,10 +153,11 @@ def event_json_flatten(spark: SparkSession, folder: str) -> DataFrame:
     )
 )
 def table_scan(spark: SparkSession, folder: str) -> DataFrame:
-    # A name of the session alone: the catalog keeps nothing of it.
-    writers.stored(views.sales(spark, folder, dealt=True)).createOrReplaceTempView("acreage_sales")
+    # A name of the session and of this call alone: the catalog keeps nothing of it.
+    name = f"sales_{uuid.uuid4().hex}"
+    writers.stored(views.sales(spark, folder, dealt=True)).createOrReplaceTempView(name)
     return (
-        readers.read_table(spark, "acreage_sales")
+        readers.read_table(spark, name)
         .groupBy("prop_state_nm", "prop_zip_cd")
         .agg(F.count("*").alias("n_rows"), F.max("prop_last_sale_amt").alias("top_amt"))
     )
@@ -172,10 +175,11 @@ LAYOUT_SQL = ", ".join(f"('{name}', {len(layout)})" for name, layout in TABLES.i
     )
 )
 def empty_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Every table created empty, then the sales appended to the one they belong in."""
+    """Every table created empty, then the sales appended to the one they belong in. The catalog is
+    left as it was; the tables' files stay."""
     root = fresh_path(spark, "tables")
     prefix = f"acreage_{root[-12:]}_"
-    writers.create_tables(spark, TABLES, root, prefix)
+    writers.forget_tables(spark, writers.create_tables(spark, TABLES, root, prefix))
     rows = views.sales(spark, folder, dealt=True).withColumn("year", F.year("prop_last_sale_dt"))
     writers.append_if_any(
         writers.fit(rows, TABLES[jobs.SILVER_SALES]),

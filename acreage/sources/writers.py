@@ -135,7 +135,8 @@ def create_tables(
     for name, layout in layouts.items():
         schema, table = name.split(".")
         schema = prefix + schema
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{root}/{schema}'")
+        # Dropping a schema removes its folder: tables lie elsewhere.
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{root}/_schemas/{schema}'")
         spark.sql(f"DROP TABLE IF EXISTS {schema}.{table}")
         (
             spark.createDataFrame([], layout)
@@ -147,6 +148,16 @@ def create_tables(
     return created
 
 
+def forget_tables(spark: SparkSession, names: Sequence[str]) -> None:
+    """Take tables made by ``create_tables`` and their schemas out of the catalog. Their files, which
+    lie apart from the schemas' folders, stay; a schema with other tables stays too."""
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for schema in sorted({name.split(".")[0] for name in names}):
+        if spark.sql(f"SHOW TABLES IN {schema}").where("NOT isTemporary").isEmpty():
+            spark.sql(f"DROP SCHEMA IF EXISTS {schema}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)

@@ -14,6 +14,7 @@ from acreage.sources.writers import (
     append_evolving,
     append_if_any,
     create_tables,
+    forget_tables,
     overwrite_snapshot,
     read_evolving,
     snapshots,
@@ -247,3 +248,13 @@ def test_an_append_that_failed_half_way_is_not_seen(spark, tmp_path, left):
     again = lake.append("s.t", sales(2001, 2002, 2003), layout, {"etl_nr": 2, "top_nr": 6})
     assert rows(again, "year", "etl_nr") == {(1999, 1): 1, (2000, 1): 1, (2001, 2): 1, (2002, 2): 1, (2003, 2): 1}
     assert lake.marks("s.t") == {"etl_nr": 2, "top_nr": 6}
+
+
+def test_the_catalog_is_left_as_it_was(spark, tmp_path):
+    before = {r["namespace"] for r in spark.sql("SHOW SCHEMAS").collect()}
+    names = create_tables(spark, {"one.t": SALES_FEED, "two.u": SALES_FEED}, str(tmp_path), "forgotten_")
+    assert spark.table(names[0]).isEmpty()
+    forget_tables(spark, names)
+    assert {r["namespace"] for r in spark.sql("SHOW SCHEMAS").collect()} == before
+    # The files stay, and can be read and appended to.
+    assert spark.read.schema(SALES_FEED).parquet(str(tmp_path / "forgotten_one" / "t")).isEmpty()
