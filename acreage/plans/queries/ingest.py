@@ -17,9 +17,10 @@ from acreage.plans.queries.feeds import (
     sales_feed,
 )
 from acreage.plans.registry import plain, query
-from acreage.schemas import TABLES, XML_DOCUMENT
+from acreage.schemas import PARCEL_RESPONSE, TABLES, XML_DOCUMENT
 from acreage.session import fresh_path
 from acreage.sources import readers, writers
+from acreage.sources.drift import json_drift
 from acreage.streaming.dedup import ARRIVED, ingest_unseen
 from acreage.streaming.ingest import BATCH, STREAM, incremental_ingest, insert_new_into
 
@@ -348,3 +349,33 @@ def csv_bad_cells(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("string").alias("apn"), F.lit("rows").alias("column_name"), F.lit(None).cast("string").alias("kind"), "cell"
     )
     return cells.select(F.col("row.APN").alias("apn"), "column_name", "kind", "cell").unionByName(number)
+
+
+@query(
+    views.sql_with(
+        "parcel_event",
+        then="""SELECT 'year_built' AS path, 'number' AS wanted, 'string' AS found, COUNT(*) AS n_values, '"n/a"' AS example
+                FROM parcel_event WHERE parcl_property_id % 7 = 0
+        UNION ALL SELECT 'pool', NULL, 'boolean', COUNT(*), 'true' FROM parcel_event WHERE parcl_property_id % 7 = 0
+        UNION ALL SELECT 'events[].buyer', NULL, 'object', COUNT(*) + COUNT(*) FILTER (price % 2 = 0), '{"id":1}'
+                  FROM parcel_event WHERE parcl_property_id % 7 = 0
+        UNION ALL SELECT '(line)', NULL, 'unreadable', COUNT(*), '{"parcl_property_id":' FROM parcel_event WHERE parcl_property_id % 11 = 0""",
+    )
+)
+def event_json_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed responses, some with fields the layout does not name, a year that is text, or half a line."""
+    landing = fresh_path(spark, "landing")
+    events = views.parcel_events(spark, folder)
+    responses = parcel_responses(events)
+    odd = responses.where(F.col("parcl_property_id") % 7 == 0).withColumns(
+        {
+            "year_built": F.lit("n/a"),
+            "pool": F.lit(True),
+            "events": F.transform("events", lambda e: F.struct(e["event_type"].alias("event_type"), F.struct(F.lit(1).alias("id")).alias("buyer"))),
+        }
+    )
+    responses.where(F.col("parcl_property_id") % 7 != 0).write.json(landing)
+    odd.write.mode("append").json(landing)
+    broken = events.where(F.col("parcl_property_id") % 11 == 0).select(F.lit('{"parcl_property_id":').alias("value"))
+    broken.write.mode("append").text(landing)
+    return json_drift(spark, landing, PARCEL_RESPONSE)

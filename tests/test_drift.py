@@ -1,0 +1,33 @@
+from pyspark.sql import types as T
+from util import rows
+
+from acreage.schemas import PARCEL_RESPONSE
+from acreage.sources.drift import json_drift
+
+LINES = """{"parcl_property_id": 1, "bedrooms": 2, "zip_code": "00001", "events": [{"event_type": "SALE", "price": 5.5, "buyer": {"id": 7}}]}
+{"parcl_property_id": 2, "bedrooms": "two", "pool": true, "events": [{"price": null, "buyer": "B"}, {"event_type": 3}, 5]}
+{"parcl_property_id": 3, "pool": false, "hoa": {"fee": 1.5}, "events": {"event_type": "x"}}
+{"parcl_property_id": 4, "pool": null, "events": []}
+{"parcl_property_id": 5
+not json
+
+[1, 2]
+"""
+
+
+def test_fields_outside_the_layout_and_of_other_kinds(spark, tmp_path):
+    (tmp_path / "a.json").write_text(LINES)
+    found = json_drift(spark, str(tmp_path), PARCEL_RESPONSE)
+    assert rows(found, "path", "wanted", "found", "n_values", "example") == {
+        ("bedrooms", "number", "string", 1, '"two"'): 1,
+        ("pool", None, "boolean", 2, "false"): 1,
+        ("hoa", None, "object", 1, '{"fee":1.5}'): 1,
+        ("events", "array", "object", 1, '{"event_type":"x"}'): 1,
+        ("events[].buyer", None, "object", 1, '{"id":7}'): 1,
+        ("events[].buyer", None, "string", 1, '"B"'): 1,
+        ("events[].event_type", "string", "number", 1, "3"): 1,
+        ("(line)", None, "unreadable", 2, "not json"): 1,
+    }
+    assert json_drift(spark, str(tmp_path), T.StructType([])).where("wanted is not null").isEmpty()
+    (tmp_path / "a.json").write_text("")
+    assert json_drift(spark, str(tmp_path), PARCEL_RESPONSE).isEmpty()
