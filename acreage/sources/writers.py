@@ -148,6 +148,26 @@ def create_tables(
     return created
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, by: Sequence[str], buckets: int) -> DataFrame:
+    """Write a table whose rows lie in ``buckets`` by the hash of ``by``, sorted by it, and read it.
+
+    Two tables with as many buckets of the same key are joined and grouped by it bucket by bucket:
+    neither is shuffled again, however often that is done. ``name`` is kept in the catalog, which knows
+    about the buckets; the files lie in ``path``. Rows are dealt to their buckets before they are
+    written, so each bucket is one file and not one per task.
+    """
+    keys = [named(c) for c in by]
+    (
+        df.repartition(buckets, *keys)
+        .write.bucketBy(buckets, *by)
+        .sortBy(*by)
+        .option("path", path)
+        .mode("overwrite")
+        .saveAsTable(name)
+    )
+    return df.sparkSession.table(name)
+
+
 def forget_tables(spark: SparkSession, names: Sequence[str]) -> None:
     """Take tables made by ``create_tables`` and their schemas out of the catalog. Their files, which
     lie apart from the schemas' folders, stay; a schema with other tables stays too."""

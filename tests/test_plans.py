@@ -1,11 +1,14 @@
 """What reaches the scan, and what no plan may contain."""
 
 import pytest
-from util import plan
+from pyspark.sql import functions as F
+from util import plan, ran, rows, settings
 
 import __spark_entry__ as contract
+from acreage.operators.matching import comps_sales
 from acreage.plans import views
 from acreage.schemas import TABLES
+from acreage.sources.writers import write_bucketed
 
 FOLDER = "/root/testdata/sf0.001"
 LAZY = [
@@ -37,3 +40,24 @@ def test_parcels_have_their_own_layout():
     # D26
     assert len(TABLES["bronze.brnz_prcl_prop_sales_dtl"]) == 24
     assert len(TABLES) == 10
+
+
+def test_a_join_of_bucketed_tables_shuffles_neither(spark, tmp_path):
+    key, never = "brnz_prcl_prop_sales_dtl_sk", {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    parcels = spark.range(200).select(
+        F.col("id").alias(key), F.lit("2001-01-01").cast("date").alias("prop_sale_dt"), F.col("id").cast("double").alias("prop_sale_amt"),
+        F.lit("1.5").alias("prop_list_price_amt"),
+    )
+    pairs = spark.range(900).select((F.col("id") * 7 % 250).alias(key), F.col("id").alias("slvr_int_prop_sk"), (F.col("id") + 5).alias("slvr_int_prop_comps_sk"))
+    plainly = rows(comps_sales(parcels, pairs))
+    tables = [write_bucketed(df, f"bucketed_{n}", str(tmp_path / n), [key], 4) for n, df in (("a", parcels), ("b", pairs))]
+    try:
+        with settings(spark, never):
+            joined = comps_sales(*tables)
+            assert rows(joined) == plainly and "Exchange" not in ran(joined)
+            assert "Exchange" in ran(comps_sales(parcels, pairs))
+        # A bucket is one file, however many tasks made its rows.
+        assert len(list((tmp_path / "b").glob("*.parquet"))) <= 4
+    finally:
+        for n in "ab":
+            spark.sql(f"DROP TABLE bucketed_{n}")
