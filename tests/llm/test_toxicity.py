@@ -1,7 +1,9 @@
+import math
 import random
 import zlib
 
 import numpy as np
+import pytest
 
 from acreage.llm import toxicity as tox
 
@@ -29,6 +31,41 @@ def test_ftrl_is_sparse_and_learns():
     assert all((table[f].sum() + found.bias > 0) == bool(y) for f, y in rows)
 
 
+def plain_ftrl(examples):
+    """The update rule as it is written down: one coordinate at a time, in dictionaries."""
+    z, n, bias = {}, {}, tox.FEATURES
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= tox.L1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * tox.L1) / ((tox.BETA + math.sqrt(n[i])) / tox.ALPHA + tox.L2)
+
+    for _ in range(tox.EPOCHS):
+        for numbers, label in examples:
+            at = [*numbers.tolist(), bias]
+            w = {i: weight(i) for i in at}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - label
+            for i in at:
+                before = n.get(i, 0.0)
+                n[i] = before + g * g
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n[i]) - math.sqrt(before)) / tox.ALPHA * w[i]
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_ftrl_equals_the_rule_step_by_step():
+    rnd = random.Random(8)
+    rows = []
+    for _ in range(300):
+        label = float(rnd.random() < 0.3)
+        noise = [rnd.randrange(50, 400) for _ in range(rnd.randrange(0, 25))]
+        rows.append((np.unique(noise + [rnd.randrange(5) for _ in range(int(label) * 3)]).astype(int), label))
+    found, want = tox.ftrl(rows), plain_ftrl(rows)
+    assert want.pop(tox.FEATURES, 0.0) == pytest.approx(found.bias, rel=1e-6, abs=1e-9)
+    assert found.numbers.tolist() == sorted(want) and len(want) >= 4
+    assert found.values.tolist() == pytest.approx([want[i] for i in sorted(want)], rel=1e-4)
+
+
 def test_scores_in_any_company_and_for_empty_texts():
     weights = tox.Weights(np.array([0]), np.array([0.0], np.float32), -1.0)
     table = np.random.default_rng(0).normal(size=tox.FEATURES).astype(np.float32)
