@@ -14,6 +14,12 @@ from acreage.operators.keys import dense_surrogate_key, number
 from acreage.sources.writers import Lake, stored
 
 MODES = ("filter", "stat", "filter_and_stat")
+# The rules' names and the texts of their failures.
+RULE_TYPES = ("not_null", "unique", "value_range", "allowed_values")
+NULL_TEXT = "Null in column {column}"
+DUPLICATE_TEXT = "Duplicate on {columns}"
+RANGE_TEXT = "Value outside range [{low}, {high}]"
+DISALLOWED_TEXT = "Disallowed value in column {column}"
 
 FAILURE_COLUMNS = [
     "rule_type",
@@ -40,7 +46,7 @@ def _row_checks(rule: Mapping) -> list[tuple[Column, Column]]:
         return [
             (
                 named(c).isNull(),
-                _failure(kind, c, F.lit(None).cast("string"), f"Null in column {c}"),
+                _failure(kind, c, F.lit(None).cast("string"), NULL_TEXT.format(column=c)),
             )
             for c in rule["columns"]
         ]
@@ -48,10 +54,10 @@ def _row_checks(rule: Mapping) -> list[tuple[Column, Column]]:
     value, text = named(column), named(column).cast("string")
     if kind == "value_range":
         low, high = rule["min"], rule["max"]
-        detail = f"Value outside range [{low}, {high}]"
+        detail = RANGE_TEXT.format(low=low, high=high)
         return [((value < low) | (value > high), _failure(kind, column, text, detail))]
     allowed = rule["allowed_values"]
-    return [(~value.isin(*allowed), _failure(kind, column, text, f"Disallowed value in column {column}"))]
+    return [(~value.isin(*allowed), _failure(kind, column, text, DISALLOWED_TEXT.format(column=column)))]
 
 
 def _row_failures(df: DataFrame, rules: Sequence[Mapping], pk: str) -> DataFrame:
@@ -82,7 +88,7 @@ def _unique_failures(df: DataFrame, rule: Mapping, pk: str) -> DataFrame:
         "unique",
         ",".join(columns),
         F.concat_ws(",", *[named(c).cast("string") for c in columns]),
-        f"Duplicate on {columns}",
+        DUPLICATE_TEXT.format(columns=columns),
     )
     return duplicated_rows(df, columns).select(
         named(pk), failure.alias("_f"), row_as_text(df.columns).alias("failed_record")
@@ -91,9 +97,8 @@ def _unique_failures(df: DataFrame, rule: Mapping, pk: str) -> DataFrame:
 
 def find_failures(df: DataFrame, rules: Sequence[Mapping], pk: str) -> DataFrame:
     """One row per row and failed check: the key, the rule, the value and the whole record."""
-    known = ("not_null", "unique", "value_range", "allowed_values")
     for rule in rules:
-        if rule.get("rule_type") not in known:
+        if rule.get("rule_type") not in RULE_TYPES:
             raise ValueError(f"unknown rule type: {rule.get('rule_type')}")
     row_rules = [r for r in rules if r["rule_type"] != "unique"]
     parts = [_row_failures(df, row_rules, pk)] if row_rules else []

@@ -249,6 +249,7 @@ def activity_filter(spark: SparkSession, folder: str) -> DataFrame:
     return events.where(known_activity(F.col("kind"))).select("event_id", "event_type", "price")
 
 
+# Fixed values in the rule below: the sub-codes that each activity code accepts.
 @query(
     views.sql_with(
         "sales",

@@ -63,6 +63,10 @@ def test_investors_get_a_new_version_when_their_sales_change(spark, lake):
     assert after.select("slvr_int_inv_dtl_sk").distinct().count() == after.count() > before.count()
     again = jobs.investors(lake, TWO)
     assert rows(again) == rows(after)
+    # A day before the last one is not written as the newest.
+    with pytest.raises(ValueError, match="later than"):
+        jobs.investors(lake, ONE)
+    assert rows(jobs.dimension(lake)) == rows(after)
 
 
 def test_parcels_to_sales_detail(spark, lake):
