@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from acreage.operators.distinct import SKETCH, STATED_ERROR, distinct_counts, sketches
 from acreage.operators.feed import KIND, TIME, VERSION, net_changes
 from acreage.operators.history import SEEN, scd2_splice
 from acreage.plans import views
@@ -146,3 +147,32 @@ def scd2_late_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return dim.select(
         KEY, *TRACKED, "active_rec_ind", day("start_timestamp").alias("start_day"), day("end_timestamp").alias("end_day"), F.size(SEEN).cast("long").alias("n_seen")
     )
+
+
+COUNTED = [KEY, "prop_zip_cd", "prop_address_line_txt", "prop_last_sale_amt"]
+
+
+@query(
+    views.sql_with(
+        "sales",
+        then=" UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, {COMMITS} AS n_batches, COUNT(*) AS n_rows, COUNT(DISTINCT {c}) AS exact, TRUE AS within_bound FROM sales"
+            for c in COUNTED
+        ),
+    )
+)
+def distinct_over_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct values of seven batches from a sketch of each, held against the exact numbers."""
+    lake, sales = Lake(spark, fresh_path(spark, "lake")), stored(views.sales(spark, folder).select("etl_nr", *COUNTED))
+    for number in range(1, COMMITS + 1):
+        batch = sales.where(F.col("etl_nr") == number)
+        lake.append("silver.sketches", sketches(batch, COUNTED, number), SKETCH, {"of": number})
+    kept = lake.read("silver.sketches", SKETCH)
+    about = distinct_counts(kept).join(kept.groupBy("column_name").agg(F.count_distinct("of").cast("int").alias("n_batches")), "column_name")
+    # Each column's distinct values are found by themselves, not by copying the rows for every column.
+    exact = None
+    for c in COUNTED:
+        one = sales.select(c).distinct().agg(F.count(c).alias("exact")).withColumn("column_name", F.lit(c))
+        exact = one if exact is None else exact.unionByName(one)
+    off = F.abs(F.col("n_distinct") - F.col("exact")) <= F.ceil(F.col("exact") * STATED_ERROR)
+    return about.join(exact, "column_name").select("column_name", "n_batches", "n_rows", "exact", off.alias("within_bound"))
