@@ -18,7 +18,7 @@ from acreage.plans.queries.feeds import (
 )
 from acreage.plans.registry import plain, query
 from acreage.schemas import PARCEL_RESPONSE, TABLES, XML_DOCUMENT
-from acreage.session import fresh_path
+from acreage.session import fresh_path, write_file
 from acreage.sources import readers, writers
 from acreage.sources.drift import json_drift
 from acreage.streaming.dedup import ARRIVED, ingest_unseen
@@ -379,3 +379,35 @@ def event_json_drift(spark: SparkSession, folder: str) -> DataFrame:
     broken = events.where(F.col("parcl_property_id") % 11 == 0).select(F.lit('{"parcl_property_id":').alias("value"))
     broken.write.mode("append").text(landing)
     return json_drift(spark, landing, PARCEL_RESPONSE)
+
+
+@query(
+    """SELECT o_orderkey AS investment_id, CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 THEN 'bad' ELSE 'good' END AS outcome,
+              CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 THEN NULL ELSE o_totalprice END AS amount,
+              o_orderkey % 13 = 0 AS bad_amount, o_orderkey % 13 <> 0 AND o_orderkey % 17 = 0 AS unknown_element FROM orders"""
+)
+def xml_validated(spark: SparkSession, folder: str) -> DataFrame:
+    """Investments held against a schema file: some have an amount that is no number, some an
+    element that the schema does not name. Those are kept as they stand."""
+    landing, xsd, key = fresh_path(spark, "landing"), f"{fresh_path(spark, 'schema')}.xsd", F.col("InvestmentID")
+    documents = investments(views.spread(views.base(spark, folder, "orders")))
+    planted = documents.withColumns(
+        {
+            "Amount": F.when(key % 13 == 0, F.lit("much")).otherwise(F.col("Amount").cast("string")),
+            "Pool": F.when((key % 13 != 0) & (key % 17 == 0), F.lit("yes")),
+        }
+    )
+    planted.write.format("xml").option("rootTag", "Investments").option("rowTag", "Investment").save(landing)
+    write_file(spark, xsd, readers.xsd_of("Investment", XML_DOCUMENT))
+    good, bad = readers.read_xml_validated(spark, landing, "Investment", XML_DOCUMENT, xsd)
+    no = F.lit(False)
+    kept = good.select(
+        F.col("InvestmentID").alias("investment_id"), F.lit("good").alias("outcome"), F.col("Amount").alias("amount"),
+        no.alias("bad_amount"), no.alias("unknown_element"),
+    )
+    lost = bad.select(
+        F.regexp_extract("record", "<InvestmentID>([0-9]+)<", 1).cast("bigint").alias("investment_id"), F.lit("bad").alias("outcome"),
+        F.lit(None).cast("double").alias("amount"), F.contains("record", F.lit("<Amount>much<")).alias("bad_amount"),
+        F.contains("record", F.lit("<Pool>")).alias("unknown_element"),
+    )
+    return kept.unionByName(lost)

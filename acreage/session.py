@@ -70,6 +70,16 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, such as a schema, to a path of the cluster's file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def share_code(spark: SparkSession) -> None:
     """Send this package to the session's Python workers, once per session.
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acreage.schemas import PARCEL_RESPONSE, SALES_FEED
+from acreage.sources.writers import stored
 
 
 def read_sales_csv(spark: SparkSession, folder: str, schema: T.StructType = SALES_FEED) -> DataFrame:
@@ -80,6 +81,47 @@ def read_xml(
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+XSD_TYPES = {"bigint": "long", "int": "int", "double": "double", "string": "string", "boolean": "boolean", "date": "date"}
+
+
+def xsd_of(row_tag: str, layout: T.StructType) -> str:
+    """A schema file for elements of a layout: fields in its order, each of which may be missing."""
+
+    def element(name: str, kind: T.DataType, many: str = "") -> str:
+        if isinstance(kind, T.ArrayType):
+            return element(name, kind.elementType, ' maxOccurs="unbounded"')
+        if isinstance(kind, T.StructType):
+            inner = "".join(element(f.name, f.dataType) for f in kind)
+            return f'<xs:element name="{name}" minOccurs="0"{many}><xs:complexType><xs:sequence>{inner}</xs:sequence></xs:complexType></xs:element>'
+        return f'<xs:element name="{name}" type="xs:{XSD_TYPES[kind.simpleString()]}" minOccurs="0"{many}/>'
+
+    # The row's own element is the document: it is there once.
+    root = element(row_tag, layout).replace(' minOccurs="0"', "", 1)
+    return f'<?xml version="1.0" encoding="UTF-8"?><xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema">{root}</xs:schema>'
+
+
+def read_xml_validated(
+    spark: SparkSession, path: str, row_tag: str, schema: T.StructType, xsd: str
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of elements that the schema file ``xsd`` allows, and ``record``, the whole text of
+    each that it does not: with elements it does not name, in another order, or with values of another
+    type. ``xsd`` is a path that every executor can open. Elements are parsed and checked once, when
+    this is called, and both frames read what was stored then.
+    """
+    marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = (
+        spark.read.format("xml")
+        .option("rowTag", row_tag)
+        .option("rowValidationXSDPath", xsd)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .schema(marked)
+        .load(path)
+    )
+    rows, bad = stored(rows), F.col(CORRUPT).isNotNull()
+    return rows.where(~bad).drop(CORRUPT), rows.where(bad).select(F.col(CORRUPT).alias("record"))
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

@@ -2,13 +2,14 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from util import rows
 
 from acreage.operators.nested import parse_nested
 from acreage.operators.synth import synth_parcels, synth_sales
 from acreage.schemas import SALES_FEED, TABLES, XML_INVESTORS, XML_RETURNS
-from acreage.session import fresh_path, shared_dir
-from acreage.sources.readers import read_csv_inferred, read_event_json, read_sales_csv, read_xml
+from acreage.session import fresh_path, shared_dir, write_file
+from acreage.sources.readers import read_csv_inferred, read_event_json, read_sales_csv, read_xml, read_xml_validated, xsd_of
 from acreage.sources.writers import (
     Lake,
     append_evolving,
@@ -258,3 +259,14 @@ def test_the_catalog_is_left_as_it_was(spark, tmp_path):
     assert {r["namespace"] for r in spark.sql("SHOW SCHEMAS").collect()} == before
     # The files stay, and can be read and appended to.
     assert spark.read.schema(SALES_FEED).parquet(str(tmp_path / "forgotten_one" / "t")).isEmpty()
+
+
+def test_xml_is_held_against_a_schema_file(spark, tmp_path):
+    layout = T.StructType().add("ID", T.LongType()).add("Name", T.StringType()).add("Part", T.ArrayType(T.StructType().add("N", T.IntegerType())))
+    good = "<Row><ID>1</ID><Part><N>1</N></Part><Part><N>2</N></Part></Row>"
+    bad = ["<Row><ID>x</ID></Row>", "<Row><ID>3</ID><Other>o</Other></Row>", "<Row><Name>n</Name><ID>4</ID></Row>", "<Row><ID>5</ID><Part><N>z</N></Part></Row>"]
+    (tmp_path / "a.xml").write_text(f"<Rows>{good}{''.join(bad)}<Row/></Rows>")
+    write_file(spark, str(tmp_path / "s" / "row.xsd"), xsd_of("Row", layout))
+    rows_of, kept = read_xml_validated(spark, str(tmp_path / "a.xml"), "Row", layout, str(tmp_path / "s" / "row.xsd"))
+    assert {(r["ID"], r["Name"], len(r["Part"] or [])) for r in rows_of.collect()} == {(1, None, 2), (None, None, 0)}
+    assert sorted(r["record"] for r in kept.collect()) == sorted(bad)
