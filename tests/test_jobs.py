@@ -208,3 +208,22 @@ def test_counts_are_taken_as_rows_pass(spark, tmp_path):
     assert rows(jobs.load_counts(lake)) == {
         (1, 20, 20, 0, 20): 1, (2, 30, 30 - incomplete, incomplete, 30 - incomplete - known): 1, (3, 0, 0, 0, 0): 1,
     }
+
+
+def test_of_several_batches_the_first_keeps_a_key_and_nothing_is_shuffled_for_the_years(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "GATHERED_ROWS", 10)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    for low, high in ((0, 40), (20, 60), (0, 60), (50, 80)):
+        jobs.bronze_sales(lake, feed(spark, low, high), ONE)
+    # The first batch alone, then the others at once.
+    good = jobs.table(lake, jobs.BRONZE_SALES).where(jobs.all_present(jobs.REQUIRED_SALE_COLUMNS))
+    first = jobs.silver_rows(good.where("etl_nr = 1"), None)[0]
+    assert first.count() == 40
+    alone, _ = jobs.silver_rows(good, None, several=True)
+    rest, _ = jobs.silver_rows(good.where("etl_nr > 1"), first, several=True)
+    assert alone.count() == 80 and rest.count() == 40
+    assert rows(first.unionByName(rest)) == rows(alone)
+    # Whole rows stay where they are unless the keys that lose some are many.
+    assert "SortMergeJoin" not in plan(alone) and "hashpartitioning" not in plan(alone)
+    assert jobs.silver_sales(lake, ONE).count() == 80
+    assert sorted(r["slv_prps_prop_pk"] for r in jobs.table(lake, jobs.SILVER_SALES).collect()) == list(range(1, 81))
