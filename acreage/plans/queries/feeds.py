@@ -9,7 +9,7 @@ from acreage.functions.columns import equity, gross_yield
 from acreage.schemas import SALES_FEED
 
 # Rows of a landed file. Compressed CSV files and XML files are each read whole by one task.
-CSV_FILE_ROWS, XML_FILE_ROWS = 500_000, 100_000
+CSV_FILE_ROWS, XML_FILE_ROWS = 500_000, 50_000
 
 SALE_ID_SQL = (
     "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || "

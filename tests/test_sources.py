@@ -7,6 +7,8 @@ from util import rows
 
 from acreage.operators.nested import parse_nested
 from acreage.operators.synth import synth_parcels, synth_sales
+from acreage.plans import views
+from acreage.plans.queries import feeds, ingest
 from acreage.schemas import SALES_FEED, TABLES, XML_INVESTORS, XML_RETURNS
 from acreage.session import fresh_path, shared_dir, write_file
 from acreage.sources.readers import read_csv_inferred, read_event_json, read_sales_csv, read_xml, read_xml_validated, xsd_of
@@ -270,3 +272,16 @@ def test_xml_is_held_against_a_schema_file(spark, tmp_path):
     rows_of, kept = read_xml_validated(spark, str(tmp_path / "a.xml"), "Row", layout, str(tmp_path / "s" / "row.xsd"))
     assert {(r["ID"], r["Name"], len(r["Part"] or [])) for r in rows_of.collect()} == {(1, None, 2), (None, None, 0)}
     assert sorted(r["record"] for r in kept.collect()) == sorted(bad)
+
+
+def test_landed_files_are_bounded_and_hold_all_rows(spark, tmp_path, monkeypatch):
+    # A compressed or XML file is one task's, so its size must not grow with the table.
+    monkeypatch.setattr(ingest, "XML_FILE_ROWS", 100)
+    monkeypatch.setattr(feeds, "CSV_FILE_ROWS", 100)
+    orders = views.base(spark, "/root/testdata/sf0.001", "orders").coalesce(1)
+    ingest.land_xml(feeds.investments(orders), str(tmp_path / "xml"))
+    feeds.land_csv(synth_sales(spark.range(0, 350, 1, 1), date(2001, 8, 1)), str(tmp_path / "csv"))
+    assert len(list((tmp_path / "xml").glob("part-*"))) == -(-orders.count() // 100) > 1
+    assert len(list((tmp_path / "csv").glob("part-*.gz"))) == 4
+    assert read_xml(spark, str(tmp_path / "xml"), "Investment").count() == orders.count()
+    assert read_sales_csv(spark, str(tmp_path / "csv")).count() == 350
