@@ -7,8 +7,9 @@ from util import plan, ran, rows, settings
 import __spark_entry__ as contract
 from acreage.operators.matching import comps_sales
 from acreage.plans import views
+from acreage.plans.queries import loads
 from acreage.schemas import TABLES
-from acreage.sources.writers import write_bucketed
+from acreage.sources.writers import stored, write_bucketed
 
 FOLDER = "/root/testdata/sf0.001"
 LAZY = [
@@ -61,3 +62,11 @@ def test_a_join_of_bucketed_tables_shuffles_neither(spark, tmp_path):
     finally:
         for n in "ab":
             spark.sql(f"DROP TABLE bucketed_{n}")
+
+
+def test_widened_batches_are_made_from_the_columns_they_take(spark, monkeypatch):
+    """What three batches are cut from is stored without the columns that none of them has."""
+    kept = []
+    monkeypatch.setattr(loads, "stored", lambda df: kept.append(df.columns) or stored(df))
+    loads.type_widening(spark, FOLDER)
+    assert len(kept) == 1 and len(kept[0]) == 9 and "prop_address_line_txt" not in kept[0]
