@@ -122,12 +122,15 @@ def _view(spark: SparkSession, folder: str, text: str, **dealt: DataFrame) -> Da
     return spark.sql(text, **(tables | dealt))
 
 
+def many_sales(spark: SparkSession, folder: str) -> bool:
+    return file_bytes(base(spark, folder, "lineitem")) >= LARGE
+
+
 def sales(spark: SparkSession, folder: str, *, dealt: bool = False) -> DataFrame:
     """The sales; ``dealt`` spreads their rows as ``spread`` does, unless joins do."""
-    rows = base(spark, folder, "lineitem")
-    if file_bytes(rows) >= LARGE:
+    if many_sales(spark, folder):
         return _view(spark, folder, SALES_OF_LARGE)
-    return _view(spark, folder, SALES, **({"lineitem": spread(rows)} if dealt else {}))
+    return _view(spark, folder, SALES, **({"lineitem": spread(base(spark, folder, "lineitem"))} if dealt else {}))
 
 
 def properties(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,9 +7,9 @@ from util import plan, ran, rows, settings
 import __spark_entry__ as contract
 from acreage.operators.matching import comps_sales
 from acreage.plans import views
-from acreage.plans.queries import loads
+from acreage.plans.queries import ingest, loads
 from acreage.schemas import TABLES
-from acreage.sources.writers import stored, write_bucketed
+from acreage.sources.writers import stored, write_bucketed, write_partitioned
 
 FOLDER = "/root/testdata/sf0.001"
 LAZY = [
@@ -70,3 +70,17 @@ def test_widened_batches_are_made_from_the_columns_they_take(spark, monkeypatch)
     monkeypatch.setattr(loads, "stored", lambda df: kept.append(df.columns) or stored(df))
     loads.type_widening(spark, FOLDER)
     assert len(kept) == 1 and len(kept[0]) == 9 and "prop_address_line_txt" not in kept[0]
+
+
+def test_many_sales_are_written_where_their_joins_leave_them(spark, monkeypatch):
+    """No shuffle by year of whole rows, and the same result; a small table is still gathered."""
+    gathered = []
+
+    def written(df, path, **how):
+        gathered.append(how.get("gather", True))
+        write_partitioned(df, path, **how)
+
+    monkeypatch.setattr(ingest.writers, "write_partitioned", written)
+    few = rows(ingest.partitioned_roundtrip(spark, FOLDER))
+    monkeypatch.setattr(views, "LARGE", 0)
+    assert rows(ingest.partitioned_roundtrip(spark, FOLDER)) == few and gathered == [True, False]
