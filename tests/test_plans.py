@@ -31,6 +31,14 @@ def test_the_date_window_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
 
 
+def test_investor_match_joins_the_sales_once(spark, monkeypatch):
+    """Profiles, counts and the match read stored sales; none makes the view's joins again."""
+    made = []
+    monkeypatch.setattr(views, "sales", lambda *a, _sales=views.sales, **k: made.append(a) or _sales(*a, **k))
+    text = plan(contract.queries()["investor_match"](spark, FOLDER))
+    assert len(made) == 1 and "stored-" in text and "lineitem.parquet" not in text
+
+
 def test_unused_columns_are_not_read(spark):
     text = plan(views.sales(spark, FOLDER).select("prop_zip_cd"))
     lineitem = next(line for line in text.splitlines() if "lineitem.parquet" in line)
