@@ -115,6 +115,24 @@ def test_parcels_to_sales_detail(spark, lake):
     assert flagged.count() == merged.where("usraddr is not null and latest_record_ind").count() + 30
 
 
+def test_the_sales_detail_makes_sales_and_pairs_in_one_pass(spark, tmp_path):
+    """No union hands on every pair before it is counted."""
+    lake = Lake(spark, str(tmp_path))
+    sale = spark.createDataFrame([(1, date(2001, 5, 1), 5.0, "A/C", False), (2, None, None, None, None)], "slvr_int_prop_dtl_sk long, prop_sale_dt date, prop_sale_amt double, usraddr string, latest_record_ind boolean")
+    lists = spark.createDataFrame(
+        [(2, 10, [7, 8], [(ONE, 1.0, None), (None, 2.0, 3.0)])], jobs.T.StructType([f for f in jobs.DETAIL_STORED if f.name in ("_first", "_comps", "_owners", "_parcels")])
+    )
+    lake.advance(jobs.SALES_DETAIL, sale.unionByName(lists, allowMissingColumns=True), jobs.DETAIL_STORED, F.lit(False))
+    detail = jobs.sales_detail(lake)
+    assert rows(detail, "slvr_int_prop_dtl_sk", "slvr_int_prop_sk", "slvr_int_prop_comps_sk", "prop_sale_dt", "prop_sale_amt", "prop_list_price_amt", "usraddr", "latest_record_ind") == {
+        (1, None, None, date(2001, 5, 1), 5.0, None, "A/C", False): 1, (2, None, None, None, None, None, None, None): 1,
+        (3, 7, 11, ONE, 1.0, None, None, True): 1, (4, 8, 12, ONE, 1.0, None, None, True): 1,
+        (5, 7, 13, None, 2.0, 3.0, None, True): 1, (6, 8, 14, None, 2.0, 3.0, None, True): 1,
+    }
+    assert detail.where("slvr_int_prop_comps_sk is null").count() == 2 and detail.where("latest_record_ind").count() == 4
+    assert "Union" not in plan(detail)
+
+
 def test_parcels_that_land_between_loads_are_not_lost(spark, tmp_path):
     # D27
     lake = Lake(spark, str(tmp_path))
