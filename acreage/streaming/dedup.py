@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,26 @@ from acreage.streaming.ingest import landed
 
 ARRIVED = "arrived_ts"
 
+# Keys are kept on the executors' disks, with a fixed amount of memory for all of an executor's
+# partitions: maps of them, as the default store keeps, grow with the keys until no heap holds them.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings for what is started inside; a stream keeps those it was started with."""
+    before = {key: spark.conf.get(key, "") for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+
 
 def unseen_within(rows: DataFrame, keys: Sequence[str], delay: str) -> DataFrame:
     """The rows of a stream whose key has not come within ``delay`` before, with ``arrived_ts``.
@@ -46,15 +67,17 @@ def ingest_unseen(
     The sink's own log says which files of it were committed, so a batch that fails half-way leaves
     nothing that ``spark.read.parquet(sink)`` shows. The sink itself is never read. What
     ``streaming.ingest`` does for all time this does for a stated one: a key that lands again
-    later than that is taken once more.
+    later than that is taken once more. State is kept as ``STATE_STORE`` says; a checkpoint that was
+    begun with another store goes on with that one.
     """
     stream = landed(spark, folder, schema, file_format, files_per_batch, bytes_per_batch, options)
-    return (
+    writer = (
         unseen_within(stream, keys, delay)
         .writeStream.format("parquet")
         .option("path", sink)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
+    with settings(spark, STATE_STORE):
+        return writer.start()

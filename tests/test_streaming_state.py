@@ -7,7 +7,7 @@ from util import rows
 
 from acreage.schemas import SALES_FEED
 from acreage.sources.readers import read_sales_csv, read_sales_csv_checked
-from acreage.streaming.dedup import ARRIVED, ingest_unseen
+from acreage.streaming.dedup import ARRIVED, STATE_STORE, ingest_unseen
 
 KV = "k long, v string"
 
@@ -49,6 +49,17 @@ def test_the_state_holds_no_more_than_the_delay_brings(spark, tmp_path):
     assert spark.read.parquet(sink).select(ARRIVED).distinct().count() == 4
 
 
+def test_keys_are_kept_on_disk_and_the_session_as_it_was(spark, tmp_path):
+    landing, sink, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    before = {key: spark.conf.get(key, "") for key in STATE_STORE}
+    spark.range(50).select(F.col("id").alias("k"), F.lit("v").alias("v")).write.parquet(landing)
+    query = ingest_unseen(spark, landing, spark.read.parquet(landing).schema, ["k"], sink, progress)
+    query.awaitTermination()
+    (metrics,) = {tuple(p["stateOperators"][0]["customMetrics"]) for p in query.recentProgress if p["stateOperators"]}
+    assert any(name.startswith("rocksdb") for name in metrics)
+    assert {key: spark.conf.get(key, "") for key in STATE_STORE} == before
+
+
 def test_cells_that_do_not_parse_are_listed(spark, tmp_path):
     names = [f.name for f in SALES_FEED]
     good = {n: "" for n in names} | {"APN": "a1", "Bedrooms": "3", "Last Sale Date": "2001-02-03", "Last Sale Amount": "5.5", "City": "St. \"Q\", TX"}
