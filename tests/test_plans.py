@@ -1,5 +1,7 @@
 """What reaches the scan, and what no plan may contain."""
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 from util import plan, ran, rows, settings
@@ -72,6 +74,25 @@ def test_a_join_of_bucketed_tables_shuffles_neither(spark, tmp_path):
             spark.sql(f"DROP TABLE bucketed_{n}")
 
 
+def test_bucketed_pairs_are_neither_moved_nor_sorted(spark, tmp_path):
+    """Tasks write what they make to every bucket, and pairs look their parcel up."""
+    key, before = "brnz_prcl_prop_sales_dtl_sk", spark.conf.getAll
+    parcels = spark.createDataFrame([(i, date(2001, 1, 1), 1.0 * i, "1.5") for i in [*range(60), 7]], f"{key} long, prop_sale_dt date, prop_sale_amt double, prop_list_price_amt string")
+    pairs = spark.range(900, numPartitions=3).select((F.col("id") * 7 % 80).alias(key), F.col("id").alias("slvr_int_prop_sk"), (F.col("id") + 5).alias("slvr_int_prop_comps_sk"))
+    plainly = rows(comps_sales(parcels, pairs))
+    tables = [write_bucketed(parcels, "sold_c", str(tmp_path / "c"), [key], 4), write_bucketed(pairs, "sold_d", str(tmp_path / "d"), [key], 4, False)]
+    try:
+        with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+            joined = comps_sales(tables[0].hint("shuffle_hash"), tables[1])
+            assert rows(joined) == plainly
+            assert "Exchange" not in ran(joined) and "Sort " not in ran(joined) and "ShuffledHashJoin" in ran(joined)
+        assert rows(tables[1]) == rows(pairs) and 4 < len(list((tmp_path / "d").glob("*.parquet"))) <= 12
+        assert spark.conf.getAll == before
+    finally:
+        for n in "cd":
+            spark.sql(f"DROP TABLE sold_{n}")
+
+
 def test_widened_batches_are_made_from_the_columns_they_take(spark, monkeypatch):
     """What three batches are cut from is stored without the columns that none of them has."""
     kept = []
